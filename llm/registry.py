@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from llm.mixing import OP8_SQL, op8_mix
+from llm.quality_rules import OP10_SQL, op10_quality_rules
+from llm.url_filter import OP1_SQL, op1_url_filter
 
 
 def queries() -> dict:
-    return {"op8_mix": op8_mix}
+    return {"op1_url_filter": op1_url_filter, "op8_mix": op8_mix, "op10_quality_rules": op10_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix": OP8_SQL}
+    return {"op1_url_filter": OP1_SQL, "op8_mix": OP8_SQL, "op10_quality_rules": OP10_SQL}
