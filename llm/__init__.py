@@ -1 +1,8 @@
 """Operators for preparing training text at scale; nothing else in the library imports this."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions travel to the executors by value, which then need not have this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+from llm.decontaminate import OP7_SQL, op7_decontaminate
+from llm.minhash import op9_near_dedup
 from llm.mixing import OP8_SQL, op8_mix
+from llm.quality_classifier import op3_quality_classifier
 from llm.quality_rules import OP10_SQL, op10_quality_rules
+from llm.substring_dedup import op2_substring_dedup
+from llm.toxicity import op5_toxicity
 from llm.url_filter import OP1_SQL, op1_url_filter
+from llm.warc import OP6_SQL, op6_warc
 
 
 def queries() -> dict:
-    return {"op1_url_filter": op1_url_filter, "op8_mix": op8_mix, "op10_quality_rules": op10_quality_rules}
+    return {
+        "op1_url_filter": op1_url_filter,
+        "op2_substring_dedup": op2_substring_dedup,
+        "op3_quality_classifier": op3_quality_classifier,
+        "op5_toxicity": op5_toxicity,
+        "op6_warc": op6_warc,
+        "op7_decontaminate": op7_decontaminate,
+        "op8_mix": op8_mix,
+        "op9_near_dedup": op9_near_dedup,
+        "op10_quality_rules": op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op8_mix": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op1_url_filter": OP1_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op10_quality_rules": OP10_SQL}

@@ -141,3 +141,25 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         out = np.minimum(out[:-step], out[step:])
         have += step
     return out
+
+
+#: 0: white space and control bytes, 1: digits, letters and bytes beyond ASCII, 2: other ASCII.
+KIND = np.full(256, 2, np.uint8)
+KIND[:33] = 0
+KIND[127] = 0
+KIND[128:] = 1
+KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = KIND) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes of one kind (0 left out), and the number of runs before each row."""
+    k = kind[data]
+    changes = np.ones(len(k) + 1, bool)
+    changes[1:-1] = k[1:] != k[:-1]
+    edge = offsets[1:-1]
+    changes[edge] = True
+    at = np.flatnonzero(changes)
+    start, end = at[:-1], at[1:]
+    some = k[start] != 0 if len(start) else np.zeros(0, bool)
+    start, end = start[some], end[some]
+    return start, end, np.searchsorted(start, offsets)
