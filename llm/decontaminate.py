@@ -14,7 +14,7 @@ document; nothing groups the rows of a term, window or item in one task.
 
 Defined results: a null text has no words and no hits; an item without words
 has no windows; a row's matches depend on its text alone, so rows that repeat
-an id are judged each on its own; items that repeat an item_id count once; an
+an id are judged each on its own, by id and text hash; items that repeat an item_id count once; an
 empty table on either side gives no hits.
 """
 
@@ -27,18 +27,24 @@ from llm.sparkkit import BROADCAST_ROWS, small, stored
 
 #: Words: runs of digits, letters and characters beyond ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Stands after the last word of a document, so that one pass gives postings and lengths; no word holds it.
+END = "\x00end"
 WINDOW = 10
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def lowered(text: Column) -> Column:
+    """A-Z to a-z and nothing else, by the fast function where the text is ASCII."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+
+
 def terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(TERM), F.lit(0))
+    return F.regexp_extract_all(lowered(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0))
 
 
-def keyed(docs: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, row_hash and `words` of each document; both keys name a row, copies of a row share them."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", F.xxhash64(text, F.length(text)).alias("row_hash"), terms(F.col("text")).alias("words"), *more)
+def row_hash(text: Column) -> Column:
+    text = F.coalesce(text, F.lit(""))
+    return F.xxhash64(text, F.length(text))
 
 
 def windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -50,7 +56,7 @@ def windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(term, n): how often each term of the vocabulary stands in all documents."""
-    found = keyed(docs).select(F.explode("words").alias("term")).join(vocabulary, "term", "left_semi")
+    found = docs.select(F.explode(terms(F.col("text"))).alias("term")).join(vocabulary, "term", "left_semi")
     return vocabulary.join(found.groupBy("term").agg(F.count("*").alias("n")), "term", "left").select("term", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
@@ -67,30 +73,35 @@ def pivots(phrases: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def phrase_starts(docs: DataFrame, phrases: DataFrame, counts: DataFrame, width: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, row_hash, phrase_id, start, n): every exact occurrence of a phrase, start counted from 0."""
+    """(doc_id, row_hash, phrase_id, start, n): every exact occurrence of a phrase, start counted from 0.
+
+    One row more for each document, of no phrase, has its number of words as start.
+    """
     p = stored(pivots(phrases, counts), "decontaminate-pivots")
-    wanted = p.select(F.col("term1").alias("term")).distinct()
+    row = ["doc_id", "row_hash"]
+    words = docs.select("doc_id", row_hash(F.col("text")).alias("row_hash"), terms(F.col("text")).alias("words"))
     first = p.select("phrase_id", "phrase", "n", F.col("term1").alias("term"), F.col("at1").alias("offset"), F.col("term2"), (F.col("at2") - F.col("at1")).alias("apart"))
-    if max(wanted.count(), p.count()) <= broadcast_rows:
+    if p.count() <= broadcast_rows:
         # a wanted posting keeps the words around it, so that a start is compared in place
-        postings = keyed(docs).select("doc_id", "row_hash", "words", F.posexplode("words").alias("at", "term")).join(F.broadcast(wanted), "term", "left_semi")
+        ends = first.sparkSession.createDataFrame([(None, None, 0, END, 0, None, None)], first.schema)
+        # only functions that Spark compiles stand here, else each posting would copy the document's words
+        postings = words.select(*row, "words", F.posexplode(F.array_append("words", END)).alias("at", "term"))
+        near = postings.join(F.broadcast(first.union(ends)), "term")
         around = F.slice("words", F.greatest(F.col("at") - (width - 2), F.lit(1)), F.lit(2 * width - 1))
-        near = postings.select("doc_id", "row_hash", "term", "at", around.alias("around"), F.greatest(F.col("at") - (width - 1), F.lit(0)).alias("first"))
-        start = F.col("at") - F.col("offset")
+        near = near.select(*row, "phrase_id", "phrase", "n", "at", "term2", "apart", (F.col("at") - F.col("offset")).alias("start"), F.when(F.col("phrase_id").isNotNull(), around).alias("around"), F.greatest(F.col("at") - (width - 1), F.lit(0)).alias("first"))
         other = F.get("around", F.col("at") + F.col("apart") - F.col("first"))
-        found = near.join(F.broadcast(first), "term").where((start >= 0) & (F.col("term2").isNull() | (other == F.col("term2"))))
-        same = F.slice("around", F.greatest(start - F.col("first") + 1, F.lit(1)), F.col("n")) == F.col("phrase")
-        return found.where(same).select("doc_id", "row_hash", "phrase_id", start.alias("start"), "n")
-    row = ["doc_id", "row_hash"]
-    postings = keyed(docs).select(*row, F.posexplode("words").alias("at", "term"))
+        both = (F.col("start") >= 0) & (F.col("term2").isNull() | (other == F.col("term2")))
+        same = F.slice("around", F.greatest(F.col("start") - F.col("first") + 1, F.lit(1)), F.col("n")) == F.col("phrase")
+        return near.where(F.col("phrase_id").isNull() | (both & same)).select(*row, "phrase_id", "start", "n")
+    postings = words.select(*row, F.posexplode("words").alias("at", "term"))
     one = first.join(postings, "term").select("phrase_id", *row, (F.col("at") - F.col("offset")).alias("start"), "term2").alias("x")
     two = first.where("term2 IS NOT NULL").select("phrase_id", F.col("term2").alias("term"), (F.col("offset") + F.col("apart")).alias("offset")).join(postings, "term").select("phrase_id", *row, (F.col("at") - F.col("offset")).alias("start")).alias("y")
     both = one.join(two, (F.col("x.phrase_id") == F.col("y.phrase_id")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.row_hash") == F.col("y.row_hash")) & (F.col("x.start") == F.col("y.start")), "left_semi")
     starts = both.union(one.where("term2 IS NULL")).where("start >= 0").distinct().alias("s")
-    d = keyed(docs).dropDuplicates(row).alias("d")
+    d = words.dropDuplicates(row).alias("d")
     whole = starts.join(d, F.col("s.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("s.row_hash") == F.col("d.row_hash"))).select("s.*", F.col("d.words").alias("words"))
     checked = whole.join(p.select("phrase_id", "phrase", "n"), "phrase_id").where(F.slice("words", F.col("start") + 1, F.col("n")) == F.col("phrase"))
-    return checked.select(*row, "phrase_id", "start", "n")
+    return checked.select(*row, "phrase_id", "start", "n").union(words.select(*row, F.lit(None).cast("string"), F.size("words"), F.lit(0)))
 
 
 def phrases_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -100,12 +111,13 @@ def phrases_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFr
     return w.select("phrase_id", "phrase", "n").dropDuplicates(["phrase_id"]), w.select("item_id", "phrase_id")
 
 
-def matches(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Stored (doc_id, row_hash, phrase_id, start, n), and (item_id, phrase_id)."""
+def matches(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored (doc_id, row_hash, phrase_id, start, n); (doc_id, row_hash, n_words) of all documents; (item_id, phrase_id)."""
     phrases, of = phrases_of(items, width)
     vocabulary = stored(phrases.select(F.explode("phrase").alias("term")).distinct(), "decontaminate-terms")
     counts = stored(term_counts(docs, small(vocabulary, vocabulary.count())), "decontaminate-counts")
-    return stored(phrase_starts(docs, phrases, counts, width), "decontaminate-matches"), of
+    found = stored(phrase_starts(docs, phrases, counts, width), "decontaminate-matches")
+    return found.where("phrase_id IS NOT NULL"), found.where("phrase_id IS NULL").select("doc_id", "row_hash", F.col("start").cast("long").alias("n_words")), of
 
 
 def covered(spans: Column) -> Column:
@@ -126,8 +138,8 @@ def hits(found: DataFrame, of: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the spans of each document."""
-    found, of = matches(docs, items, width)
-    d = keyed(docs).select("doc_id", "row_hash", F.size("words").cast("long").alias("n_words")).alias("d")
+    found, lengths, of = matches(docs, items, width)
+    d = lengths.alias("d")
     h = hits(found, of).alias("h")
     ids = F.coalesce(F.col("h.item_ids"), F.array().cast("array<string>"))
     n_hit = F.coalesce(F.col("h.n_hit"), F.lit(0)).cast("long")
@@ -138,10 +150,10 @@ def judged(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
     """docs, with all its columns, without the rows that have a hit."""
-    found, _ = matches(docs, items, width)
-    bad = found.select("doc_id", "row_hash").distinct().alias("b")
-    text = F.coalesce(docs["text"], F.lit(""))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("b.doc_id")) & (F.xxhash64(text, F.length(text)) == F.col("b.row_hash")), "left_anti")
+    found, _, _ = matches(docs, items, width)
+    bad = stored(found.select("doc_id", "row_hash").distinct(), "decontaminate-bad")
+    bad = small(bad, bad.count()).alias("b")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("b.doc_id")) & (row_hash(docs["text"]) == F.col("b.row_hash")), "left_anti")
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 3, width: int = WINDOW) -> DataFrame:
@@ -153,7 +165,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 3, width: i
     phrases, of = phrases_of(items, width)
     vocabulary = phrases.select(F.explode("phrase").alias("term")).distinct()
     p = stored(pivots(phrases, term_counts(docs, vocabulary)), "decontaminate-near").where("term2 IS NOT NULL")
-    postings = keyed(docs).select("doc_id", "row_hash", F.posexplode("words").alias("at", "term"))
+    postings = docs.select("doc_id", row_hash(F.col("text")).alias("row_hash"), F.posexplode(terms(F.col("text"))).alias("at", "term"))
     one = p.select("phrase_id", F.col("term1").alias("term"), "at1", "at2").join(postings, "term").select("phrase_id", "doc_id", "row_hash", "at1", "at2", F.col("at").alias("p1")).alias("x")
     two = p.select("phrase_id", F.col("term2").alias("term")).join(postings, "term").select("phrase_id", "doc_id", "row_hash", F.col("at").alias("p2")).alias("y")
     gap = (F.col("p2") - F.col("p1")) - (F.col("at2") - F.col("at1"))
