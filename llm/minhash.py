@@ -4,9 +4,9 @@
    is the `SKETCH` least.  Documents with equal sets form a class, and only
    classes go on.
 2. Inverted lists of the retained values give candidates.  Two sets similar
-   enough keep at least `SHARED` values in common but for a chance of about one
+   enough keep at least `least_shared` values in common but for a chance of one
    in a million; so, with a class's values ordered from the rarest, two such
-   classes share one of the first SKETCH - SHARED + 1, and only those are
+   classes share one of the first SKETCH - least_shared + 1, and only those are
    listed.  Values of passages that very many documents share are the last in
    that order and drop out without loss.  Sets of fewer values are their own
    sketches, and for them nothing is left to chance.
@@ -28,7 +28,9 @@ kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,21 @@ from llm.textkit import LOWER, buffers, shingles, slices, word_hashes, words
 
 WIDTH = 5
 PERCENT = 85
-#: Values of a sketch, and how many of them two linked sets share at least.
-SKETCH, SHARED = 64, 41
+#: Values of a sketch, and the chance that two linked sets share too few of them.
+SKETCH, CHANCE = 64, 1e-6
+
+
+@cache
+def least_shared(percent: int) -> int:
+    """How many values of the union's sketch two sets of that similarity share but for CHANCE."""
+    j, below = percent / 100, 0.0
+    for t in range(SKETCH + 1):
+        below += math.comb(SKETCH, t) * j**t * (1 - j) ** (SKETCH - t)
+        if below > CHANCE:
+            return t
+    return SKETCH
+
+
 
 
 def shingle_sets(part: pa.RecordBatch, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -97,7 +112,7 @@ def listed(sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     shared = values.join(often, "value").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
     kept = F.least(F.col("n"), F.lit(SKETCH))
-    least = F.when(F.col("n") >= SKETCH, F.lit(SHARED)).otherwise(F.ceil(F.col("n") * percent / 100))
+    least = F.when(F.col("n") >= SKETCH, F.lit(least_shared(percent))).otherwise(F.ceil(F.col("n") * percent / 100))
     listed = F.greatest(F.lit(0), F.size("shared") - least + 1)  # the kept - size(shared) rarest stand in no other sketch
     each = shared.withColumn("central", F.aggregate("shared", F.lit(0).cast("long"), lambda a, x: a + x["often"])).where(kept >= least)
     rows = each.select("node", "n", "central", F.explode(F.slice("shared", F.lit(1), listed.cast("int"))).alias("s")).select(F.col("s.value").alias("value"), "node", "n", "central")
@@ -109,8 +124,9 @@ def sized(n: Column, m: Column, percent: int = PERCENT) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def estimated(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose sketches' union doesn't speak against them."""
+    shared = least_shared(percent)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +141,7 @@ def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                 distinct = np.ones(len(both), bool)
                 distinct[1:] = ~twice
                 last = both[distinct][SKETCH - 1]
-                ok.append(np.count_nonzero(twice & (both[1:] <= last)) >= SHARED)
+                ok.append(np.count_nonzero(twice & (both[1:] <= last)) >= shared)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     s = sketches.select("node", "sketch")
@@ -180,7 +196,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, width: in
     nodes = stored(nodes, "minhash-nodes")
     sizes = nodes.select("node", "n")
     near = pairs.join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b").where(sized(F.col("n"), F.col("m"), percent)).select("a", "b")
-    near = stored(estimated(near, nodes), "minhash-candidates")
+    near = stored(estimated(near, nodes, percent), "minhash-candidates")
     sets = stored(full_sets(docs, nodes.select("doc_id", "node"), width), "minhash-sets")
     linked = lambda c: c.where(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent)
     first = stored(shared_counts(near, sets), "minhash-verified")
@@ -196,7 +212,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, width: in
     possible = F.coalesce(most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent, F.lit(True))
     across = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & sized(F.col("x.n"), F.col("y.n"), percent) & possible)
     rest = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = stored(linked(shared_counts(estimated(rest, nodes), sets)).select("a", "b"), "minhash-second")
+    second = stored(linked(shared_counts(estimated(rest, nodes, percent), sets)).select("a", "b"), "minhash-second")
     return linked(first).select("a", "b").union(second)
 
 
