@@ -1,4 +1,54 @@
-STAGES = []
+"""A corpus pipeline of five stages; each takes what the stage before it kept.
+
+Every function takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written as Parquet and read again as the next stage's docs.  All but the last
+return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from llm import decontaminate, minhash, mixing, quality_classifier, substring_dedup
+from llm.sparkkit import stored
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality_classifier.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (word shingles of five, similarity 0.8 or more)."""
+    return minhash.deduplicated(docs, percent=80)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has too are cut from the texts."""
+    cut = substring_dedup.without_passages(docs)
+    return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture of the sources to their target weights, a row for each copy."""
+    return mixing.mix(docs)
+
+
+STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_dedup), ("substring dedup", passages), ("benchmark decontamination", clean), ("mixing to target weights", mixture)]
+
+#: SQL can't express the classifier, the sketches and the compact windows.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to documents, each stage's result stored before the next reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
+    return STAGES[-1][1](spark, docs, sf_dir)
