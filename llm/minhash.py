@@ -10,12 +10,13 @@
    listed.  Values of passages that very many documents share are the last in
    that order and drop out without loss.  Sets of fewer values are their own
    sketches, and for them nothing is left to chance.
-3. Each list links its members with two central members of it, not with each
-   other.  Pairs pass a bound by sizes and an estimate from the union of both
+3. Short lists give all their pairs; long ones link each member with two
+   central ones, not with each other.  Pairs pass a bound by sizes and an estimate from the union of both
    sketches, and are then verified on full sets.
-4. Lists whose members are still in more than one component give the pairs
-   across components, less those that exact figures rule out (sizes, and the
-   intersections with the list's first central member), which are verified in the same way.
+4. Long lists whose members are still in more than one component give the pairs
+   across components, less those that figures rule out (sizes, the intersections
+   with the list's first central member, the sketches), which are verified in
+   the same way.
 5. Verified links make components.
 
 Defined results: null and empty texts, and texts without words, have an empty
@@ -45,6 +46,8 @@ WIDTH = 5
 PERCENT = 85
 #: Values of a sketch, and the chance that two linked sets share too few of them.
 SKETCH, CHANCE = 64, 1e-6
+#: Members of a list that gives all its pairs.
+SHORT = 32
 
 
 @cache
@@ -189,31 +192,47 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, width: in
     best = lambda c: F.max_by("node", c)
     order = F.struct("central", "node")
     pivots = stored(lists.groupBy("value").agg(F.count("*").alias("members"), best(order).alias("p1"), best(F.when(side, order)).alias("p2"), best(F.when(~side, order)).alias("p3")).where("members > 1"), "minhash-pivots")
-    members = stored(lists.join(pivots.select("value"), "value", "left_semi"), "minhash-members")
-    star = members.join(pivots, "value").select("node", "n", F.explode(F.array("p1", F.when(F.col("p2") == F.col("p1"), F.col("p3")).otherwise(F.col("p2")))).alias("pivot")).where("pivot IS NOT NULL AND pivot <> node")
-    pairs = star.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    nodes = members.select("node").distinct().join(classes.select("node", "n", "doc_id", "sketch"), "node")
-    nodes = stored(nodes, "minhash-nodes")
+    members = stored(lists.join(pivots.select("value", "members"), "value"), "minhash-members")
+    # short lists give all their pairs, long ones a star for each of two central members
+    few, many = members.where(F.col("members") <= SHORT), members.where(F.col("members") > SHORT)
+    x, y = few.alias("x"), few.alias("y")
+    near = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & sized(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    star = many.join(pivots.drop("members"), "value").select("node", F.explode(F.array("p1", F.when(F.col("p2") == F.col("p1"), F.col("p3")).otherwise(F.col("p2")))).alias("pivot")).where("pivot IS NOT NULL AND pivot <> node").distinct()
+    nodes = stored(members.select("node").distinct().join(classes.select("node", "n", "doc_id", "sketch"), "node"), "minhash-nodes")
     sizes = nodes.select("node", "n")
-    near = pairs.join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b").where(sized(F.col("n"), F.col("m"), percent)).select("a", "b")
-    near = stored(estimated(near, nodes, percent), "minhash-candidates")
+    far = star.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    far = far.join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b").where(sized(F.col("n"), F.col("m"), percent)).select("a", "b")
+    pairs = stored(estimated(near.union(far).distinct(), nodes, percent), "minhash-candidates")
     sets = stored(full_sets(docs, nodes.select("doc_id", "node"), width), "minhash-sets")
     linked = lambda c: c.where(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent)
-    first = stored(shared_counts(near, sets), "minhash-verified")
-    roots = stored(components(linked(first).select("a", "b")), "minhash-roots")
-    # what is left: pairs of a list whose members are in more than one component
-    placed = members.join(roots, "node", "left").select("value", "node", "n", F.coalesce("root", "node").alias("root"))
+    first = stored(shared_counts(pairs, sets), "minhash-verified")
+    second = stored(linked(shared_counts(estimated(across(many, pivots, nodes, first, stored(components(linked(first).select("a", "b")), "minhash-roots"), percent), nodes, percent), sets)).select("a", "b"), "minhash-second")
+    return linked(first).select("a", "b").union(second)
+
+
+def across(many: DataFrame, pivots: DataFrame, nodes: DataFrame, known: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of long lists in different components that nothing known rules out, each from the least value they share.
+
+    Ruled out are pairs by their sizes, by what both share with their list's
+    first central member, and by the values that their sketches share.
+    """
+    placed = many.join(roots, "node", "left").select("value", "node", "n", F.coalesce("root", "node").alias("root"))
     open_lists = placed.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("value")
-    known = first.select("a", "b", "shared").union(first.select("b", "a", "shared")).toDF("node", "p1", "shared")
-    left = placed.join(open_lists, "value", "left_semi").join(pivots.select("value", "p1"), "value").join(known, ["node", "p1"], "left")
-    left = stored(left.select("value", "node", "n", "root", F.when(F.col("node") == F.col("p1"), F.col("n")).otherwise(F.col("shared")).alias("shared")), "minhash-left")
+    placed = stored(placed.join(open_lists, "value", "left_semi"), "minhash-open")
+    own = placed.groupBy("node").agg(F.collect_set("value").alias("values")).join(nodes.select("node", "sketch"), "node")
+    both = known.select("a", "b", "shared").union(known.select("b", "a", "shared")).toDF("node", "p1", "shared")
+    left = placed.join(pivots.select("value", "p1"), "value").join(both, ["node", "p1"], "left").join(own, "node")
+    retained = F.transform(F.sequence(F.lit(0), F.lit(SKETCH - 1)), lambda i: F.conv(F.hex(F.substring(F.col("sketch"), i * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+    left = left.select("value", "node", "n", "root", F.when(F.col("node") == F.col("p1"), F.col("n")).otherwise(F.col("shared")).alias("shared"), "values", F.when(F.col("n") >= SKETCH, retained).alias("kept"))
+    left = stored(left, "minhash-left")
     x, y = left.alias("x"), left.alias("y")
     most = F.least("x.shared", "y.shared") + F.least(F.col("x.n") - F.col("x.shared"), F.col("y.n") - F.col("y.shared"))
     possible = F.coalesce(most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent, F.lit(True))
-    across = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & sized(F.col("x.n"), F.col("y.n"), percent) & possible)
-    rest = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = stored(linked(shared_counts(estimated(rest, nodes, percent), sets)).select("a", "b"), "minhash-second")
-    return linked(first).select("a", "b").union(second)
+    least = F.array_min(F.array_intersect("x.values", "y.values")) == F.col("x.value")
+    alike = F.coalesce(F.size(F.array_intersect("x.kept", "y.kept")) >= least_shared(percent), F.lit(True))
+    apart = (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & sized(F.col("x.n"), F.col("y.n"), percent)
+    rest = x.join(y, apart & possible & least & alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return rest.join(known.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def grouped(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, more: tuple[str, ...] = ()) -> DataFrame:
