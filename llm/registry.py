@@ -6,6 +6,7 @@ from llm.decontaminate import OP7_SQL, op7_decontaminate
 from llm.minhash import op9_near_dedup
 from llm.mixing import OP8_SQL, op8_mix
 from llm.quality_classifier import op3_quality_classifier
+from llm.repeated_bytes import OP4_SQL, op4_repeated_bytes
 from llm.quality_rules import OP10_SQL, op10_quality_rules
 from llm.substring_dedup import op2_substring_dedup
 from llm.toxicity import op5_toxicity
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op1_url_filter": op1_url_filter,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_quality_classifier": op3_quality_classifier,
+        "op4_repeated_bytes": op4_repeated_bytes,
         "op5_toxicity": op5_toxicity,
         "op6_warc": op6_warc,
         "op7_decontaminate": op7_decontaminate,
@@ -28,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op1_url_filter": OP1_SQL, "op4_repeated_bytes": OP4_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op10_quality_rules": OP10_SQL}

@@ -247,7 +247,7 @@ def _cut(docs: DataFrame, keep: tuple[str, ...], digest: bool) -> DataFrame:
                 data, offsets = buffers(part.column("text"))
                 gone = np.zeros(len(data) + 1, np.int64)
                 lists = part.column("ranges").to_pylist()
-                for at, ranges in zip(offsets.tolist(), lists, strict=True):
+                for at, ranges in zip(offsets[:-1].tolist(), lists, strict=True):
                     for r in ranges or ():
                         gone[at + r["start"]] += 1
                         gone[at + r["end"]] -= 1
