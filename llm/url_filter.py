@@ -34,6 +34,8 @@ ORDER = 5
 CALIBRATION_FOLDS = 5
 #: Characters that a URL may have, for the uniform model below order 0.
 ALPHABET = 128
+#: Copies of the one row that every gram looks up.
+SALTS = 64
 #: Bins of the calibration: scores in steps of 1/BINS between -LIMIT and LIMIT.
 BINS, LIMIT = 100, 8
 
@@ -71,8 +73,11 @@ def gram_scores(counts: DataFrame) -> DataFrame:
     context = seen.groupBy("k", F.expr("substring(part, 1, k - 1)").alias("context")).agg(
         F.sum("yes").alias("all_yes"), F.sum("no").alias("all_no"), F.sum(F.when(F.col("yes") > 0, 1).otherwise(0)).alias("kinds_yes"), F.sum(F.when(F.col("no") > 0, 1).otherwise(0)).alias("kinds_no")
     )
-    want = counts.select("gram", suffix.alias("_s")).select("gram", "_s.k", "_s.part", F.expr("substring(_s.part, 1, _s.k - 1)").alias("context"))
-    parts = want.join(seen, ["k", "part"], "left").join(context, ["k", "context"], "left").na.fill(0, ["yes", "no", "all_yes", "all_no", "kinds_yes", "kinds_no"])
+    # every gram has the empty context: its one row is given out SALTS times
+    salt = F.when(F.col("k") == 1, F.pmod(F.xxhash64("gram"), F.lit(SALTS))).otherwise(0).cast("int")
+    context = context.withColumn("salt", F.explode(F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    want = counts.select("gram", suffix.alias("_s")).select("gram", "_s.k", "_s.part", F.expr("substring(_s.part, 1, _s.k - 1)").alias("context")).withColumn("salt", salt)
+    parts = want.join(seen, ["k", "part"], "left").join(context, ["k", "context", "salt"], "left").na.fill(0, ["yes", "no", "all_yes", "all_no", "kinds_yes", "kinds_no"])
     orders = parts.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("k", "yes", "no", "all_yes", "all_no", "kinds_yes", "kinds_no"))).alias("orders"))
 
     def smooth(side: str) -> Column:
