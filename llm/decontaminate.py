@@ -83,7 +83,8 @@ def phrase_starts(docs: DataFrame, phrases: DataFrame, counts: DataFrame, width:
     first = p.select("phrase_id", "phrase", "n", F.col("term1").alias("term"), F.col("at1").alias("offset"), F.col("term2"), (F.col("at2") - F.col("at1")).alias("apart"))
     if p.count() <= broadcast_rows:
         # a wanted posting keeps the words around it, so that a start is compared in place
-        ends = first.sparkSession.createDataFrame([(None, None, 0, END, 0, None, None)], first.schema)
+        none = {"term": F.lit(END), "n": F.lit(0), "offset": F.lit(0)}
+        ends = first.sparkSession.range(1).select(*(none.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in first.schema))
         # only functions that Spark compiles stand here, else each posting would copy the document's words
         postings = words.select(*row, "words", F.posexplode(F.array_append("words", END)).alias("at", "term"))
         near = postings.join(F.broadcast(first.union(ends)), "term")

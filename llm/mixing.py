@@ -8,7 +8,8 @@ rate is its source's target over its source's size.
 Defined results: a null text has size 0; a null source is a source of its own,
 ordered last; a source without words has target 0 and rate 0; an empty table
 gives an empty mix; rows that repeat are mixed each on their own, and those
-with the same id share one draw; other columns pass through `mix` untouched.
+with the same id share one draw; other columns pass through `mix` untouched,
+but for a column copy_no, which is replaced.
 
 The only rows that meet in one task are the per-source totals (one row for each
 source); documents are never grouped whole, so a source with a third of all
@@ -88,7 +89,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     rate = F.col("_mix_rate")
     copies = (F.floor(rate) + F.when(draw(docs["doc_id"], seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
     made = joined.withColumn("_mix_copies", copies).where(F.col("_mix_copies") > 0)
-    return made.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))).alias("copy_no"))
+    return made.select(*[docs[c] for c in docs.columns if c != "copy_no"], F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))).alias("copy_no"))
 
 
 def op8_mix(spark, sf_dir: str) -> DataFrame:

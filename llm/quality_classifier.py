@@ -170,8 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     return table, train(x, got["y"].to_numpy(float))
 
 
-def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), label: str = "quality") -> DataFrame:
-    """`keep` and the calibrated probability `score` of each document, text passing through if kept."""
+def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), label: str = "quality", name: str = "score") -> DataFrame:
+    """`keep` and the calibrated probability `name` of each document, text passing through if kept."""
     table, model = fit(docs, labels, label)
     shared = docs.sparkSession.sparkContext.broadcast((table, model))
 
@@ -180,17 +180,17 @@ def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id"
         for batch in batches:
             for part in slices(batch, "text"):
                 p = probability(model, pooled(part, table))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(p, pa.float64())], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(p, pa.float64())], [*keep, name])
 
     need = [*dict.fromkeys([*keep, "text"])]
     kept = docs.select(*need)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
-    return kept.mapInArrow(score, f"{schema}, score double")
+    return kept.mapInArrow(score, f"{schema}, `{name}` double")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, that score `threshold` or more."""
-    return scored(docs, labels, tuple(docs.columns)).where(F.col("score") >= threshold).select(*docs.columns)
+    return scored(docs, labels, tuple(docs.columns), name="_quality_score").where(F.col("_quality_score") >= threshold).select(*docs.columns)
 
 
 def op3_quality_classifier(spark, sf_dir: str) -> DataFrame:
