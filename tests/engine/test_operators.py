@@ -23,7 +23,7 @@ def obs(spark, points, track=1, dt=SECOND):
 
 def box(spark, *rows):
     """(frame, det, track, class, score, x, y, dx, dy)"""
-    return spark.createDataFrame([(f, d, t, c, s, float(x), float(y), 0.0, float(dx), float(dy), 1.5, 0.0) for f, d, t, c, s, x, y, dx, dy in rows], BOX)
+    return spark.createDataFrame([(f, d, t, c, float(s), float(x), float(y), 0.0, float(dx), float(dy), 1.5, 0.0) for f, d, t, c, s, x, y, dx, dy in rows], BOX)
 
 
 def one(spark, *columns):
