@@ -88,17 +88,21 @@ def gram_scores(counts: DataFrame) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> DataFrame:
-    """One row (threshold): the bin edge with the least mean of both error rates on (score, verdict), the lowest if tied."""
+    """One row (threshold): where (score, verdict) have the least mean of both error rates, the lowest such place if tied.
+
+    Between two bins the threshold is in the middle of the gap.
+    """
     b = F.greatest(F.lit(-LIMIT * BINS), F.least(F.lit(LIMIT * BINS), F.floor(F.col("score") * BINS))).cast("int")
     bins = scored.groupBy(b.alias("bin")).agg(F.sum(F.when(F.col("verdict") == "allow", 1).otherwise(0)).alias("yes"), F.sum(F.when(F.col("verdict") == "block", 1).otherwise(0)).alias("no"))
-    before = W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    every = W.partitionBy()
+    order, every = W.orderBy("bin"), W.partitionBy()
+    before = order.rowsBetween(W.unboundedPreceding, -1)
     lost = F.coalesce(F.sum("yes").over(before), F.lit(0)) / F.sum("yes").over(every)
     passed = 1 - F.coalesce(F.sum("no").over(before), F.lit(0)) / F.sum("no").over(every)
     # whole billionths, so that equal errors tie in every engine
     error = F.round((lost + passed) * 1e9).cast("long")
-    ranked = bins.withColumn("_error", F.when((F.sum("yes").over(every) > 0) & (F.sum("no").over(every) > 0), error))
-    return ranked.agg(F.coalesce(F.min_by("bin", F.struct(F.coalesce("_error", F.lit(0)), F.when(F.col("_error").isNull(), F.abs("bin")).otherwise(0), "bin")), F.lit(0)).alias("bin"), F.max("_error").alias("e")).select(F.when(F.col("e").isNull(), 0.0).otherwise(F.col("bin") / BINS).alias("threshold"))
+    middle = (F.col("bin") + F.coalesce(F.lag("bin").over(order) + 1, F.col("bin"))) / (2 * BINS)
+    ranked = bins.select("bin", middle.alias("middle"), F.when((F.sum("yes").over(every) > 0) & (F.sum("no").over(every) > 0), error).alias("error"))
+    return ranked.agg(F.coalesce(F.min_by("middle", F.when(F.col("error").isNotNull(), F.struct("error", "bin"))), F.lit(0.0)).alias("threshold"))
 
 
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -146,8 +150,8 @@ points AS (SELECT gram, CASE WHEN (SELECT min(x) FROM (SELECT sum(yes) AS x FROM
 totals AS (SELECT url, sum(score) / count(*) / 1e6 AS score FROM each JOIN points USING (gram) GROUP BY url),
 scored AS (SELECT urls.*, coalesce(score, 0.0) AS score FROM urls LEFT JOIN totals USING (url)),
 bins AS (SELECT greatest({-LIMIT * BINS}, least({LIMIT * BINS}, floor(score * {BINS})))::INT AS bin, count(*) FILTER (ruled = 'allow') AS yes, count(*) FILTER (ruled = 'block') AS no FROM scored WHERE NOT learns AND ruled IS NOT NULL GROUP BY 1),
-errors AS (SELECT bin, sum(yes) OVER () AS y, sum(no) OVER () AS n, coalesce(sum(yes) OVER b, 0) / sum(yes) OVER () + 1 - coalesce(sum(no) OVER b, 0) / sum(no) OVER () AS e FROM bins WINDOW b AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-edge AS (SELECT coalesce((SELECT bin / {BINS}::DOUBLE FROM errors WHERE y > 0 AND n > 0 ORDER BY round(e * 1e9)::BIGINT, bin LIMIT 1), 0.0) AS t)
+errors AS (SELECT bin, (bin + coalesce(lag(bin) OVER (ORDER BY bin) + 1, bin)) / {2 * BINS}.0::DOUBLE AS middle, sum(yes) OVER () AS y, sum(no) OVER () AS n, coalesce(sum(yes) OVER b, 0) / sum(yes) OVER () + 1 - coalesce(sum(no) OVER b, 0) / sum(no) OVER () AS e FROM bins WINDOW b AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+edge AS (SELECT coalesce((SELECT middle FROM errors WHERE y > 0 AND n > 0 ORDER BY round(e * 1e9)::BIGINT, bin LIMIT 1), 0.0) AS t)
 SELECT page_id, host, path, rule, coalesce(d.ruled, CASE WHEN score >= t THEN 'allow' ELSE 'block' END) AS verdict, score FROM d JOIN scored USING (url), edge
 """
 
