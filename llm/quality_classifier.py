@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     picked = docs.select("doc_id", "text").join(F.broadcast(sample(labels, label, rows)), "doc_id")
     got = picked.select("y", "text").mapInArrow(features, "y int, x binary").limit(2 * rows).toPandas()
     got = got.sort_values(["x", "y"], ignore_index=True)  # the same order whatever the partitions were
-    x = np.array([np.frombuffer(r, np.float32) for r in got["x"]], np.float64).reshape(len(got), -1)
+    x = np.array([np.frombuffer(r, np.float32) for r in got["x"]], np.float64).reshape(len(got), table.shape[1] + 4)
     return table, train(x, got["y"].to_numpy(float))
 
 
