@@ -218,8 +218,30 @@ def _compare(table: pa.Table, picked: np.ndarray, group: np.ndarray, doc: np.nda
             yield _ranges(doc[where], place[where], first[where] + inner[opens], first[where] + inner[closes] + LENGTH)
 
 
+_MERGED = "doc long, row int, ranges array<struct<start:long,end:long>>"
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's ranges with those that touch made one, in order."""
+    for batch in batches:
+        lists = batch.column("ranges")
+        each = lists.flatten()
+        owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+        start, end = (each.field(k).to_numpy(zero_copy_only=False) for k in ("start", "end"))
+        order = np.lexsort((start, owner))
+        owner, start, end = owner[order], start[order], end[order]
+        width = int(end.max(initial=0)) + 2  # keeps the ends of one document below the starts of the next
+        far = np.maximum.accumulate(owner * width + end)
+        fresh = np.append(True, far[:-1] < (owner * width + start)[1:])[: len(owner)]
+        at = np.flatnonzero(fresh)
+        stop = np.maximum.reduceat(end, at) if len(at) else end
+        merged = pa.StructArray.from_arrays([pa.array(start[at]), pa.array(stop)], ["start", "end"])
+        offsets = np.searchsorted(owner[at], np.arange(len(lists) + 1))
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("row"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), merged)], ["doc", "row", "ranges"])
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(doc, row, ranges): the ranges [start, end) of bytes to remove of each document, which may overlap."""
+    """(doc, row, ranges): the ranges [start, end) of bytes to remove of each document, apart and in order."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = keyed(docs)
     marks = texts.mapInArrow(_mark, "h long, doc long, place long")
@@ -229,7 +251,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     stretches = texts.join(again, ["doc", "row"]).mapInArrow(_fetch, _STRETCH)
     ordered = stretches.repartition(n, "h").sortWithinPartitions("h", "doc", "place", "first")
     found = ordered.mapInArrow(_judge, _RANGE)
-    return stored(found.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "repeated-ranges")
+    lists = found.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    return stored(lists.mapInArrow(_merge, _MERGED), "repeated-ranges")
 
 
 def cut_texts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
