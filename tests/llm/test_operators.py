@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, repeated_bytes, substring_dedup, toxicity, url_filter, warc
@@ -200,6 +201,53 @@ def test_compact_windows_match_their_definition():
         assert sorted(zip(*(x.tolist() for x in substring_dedup.compact_windows(values, bounds, width)))) == sorted(want)
 
 
+def brute_windows(a, b, percent=80):
+    """Places of a's tokens that b has too, in any two windows of 46 tokens that are similar enough."""
+    out, size = set(), 46
+    for i in range(len(a) - size + 1):
+        x = set(a[i : i + size])
+        for j in range(len(b) - size + 1):
+            y = set(b[j : j + size])
+            if len(x & y) * 100 >= len(x | y) * percent:
+                out |= {k for k in range(i, i + size) if a[k] in y}
+    return out
+
+
+def edited(r, words, n):
+    """The words with n edits at random places: a word replaced, left out or put in."""
+    out = list(words)
+    for _ in range(n):
+        at, kind = r.randrange(len(out)), r.randrange(3)
+        out[at : at + (kind < 2)] = [f"edit{r.randrange(10**9)}"] * (kind != 1)
+    return out
+
+
+def tokens_of(words):
+    return [hash(tuple(words[i : i + 5])) & 0xFFFFFFFF for i in range(len(words) - 4)]
+
+
+def run_places(a, b):
+    runs = substring_dedup.similar_runs(np.array(a, np.uint32), np.array(b, np.uint32))
+    for s, e, t, f, similarity in runs:
+        x, y = set(a[s:e]), set(b[t:f])
+        assert min(e - s, f - t) >= 46 and similarity == len(x & y) / len(x | y) >= 0.8
+    return {k for s, e, *_ in runs for k in range(s, e)}
+
+
+def test_similar_runs_bridge_edits():
+    r = random.Random(31)
+    for n in range(60):
+        passage = language(3000 + n, r.randrange(50, 110), 5000).split()
+        copy = edited(r, passage, 1 + n % 3)
+        around = [language(4000 + 4 * n + k, 30, 5000).split() for k in range(4)]
+        a, b = tokens_of(around[0] + copy + around[1]), tokens_of(around[2] + passage + around[3])
+        assert brute_windows(a, b) <= run_places(a, b), n
+    passage = language(5000, 60, 5000).split()
+    changed = passage[:30] + ["other"] + passage[31:]
+    a, b = tokens_of(changed), tokens_of(passage)
+    assert run_places(a, b) == set(range(56))
+
+
 def test_passages_of_odd_tables(docs, none):
     assert substring_dedup.passages(none).count() == 0
     assert substring_dedup.passages(docs).count() > 0
