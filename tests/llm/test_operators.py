@@ -248,6 +248,20 @@ def test_similar_runs_bridge_edits():
     assert run_places(a, b) == set(range(56))
 
 
+def test_similar_runs_of_exact_passages_beside_repeated_phrases():
+    r = random.Random(32)
+    for n in range(20):
+        passage = language(6000 + n, 50 + n % 3, 5000).split()
+        around = [language(7000 + 4 * n + k, 60, 5000).split() for k in range(4)]
+        at, gap = r.randrange(len(passage) - 6), r.randrange(12, 26)
+        if n % 2:
+            around[2][60 - gap : 65 - gap] = passage[at : at + 5]
+        else:
+            around[3][gap - 5 : gap] = passage[at : at + 5]
+        a, b = tokens_of(around[0] + passage + around[1]), tokens_of(around[2] + passage + around[3])
+        assert set(range(60, 60 + len(passage) - 4)) <= run_places(a, b), n
+
+
 def test_passages_of_odd_tables(docs, none):
     assert substring_dedup.passages(none).count() == 0
     assert substring_dedup.passages(docs).count() > 0
