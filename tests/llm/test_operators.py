@@ -262,6 +262,21 @@ def test_similar_runs_of_exact_passages_beside_repeated_phrases():
         assert set(range(60, 60 + len(passage) - 4)) <= run_places(a, b), n
 
 
+def test_passages_of_documents_that_share_a_frequent_one(spark):
+    frequent = [language(8000 + k, 55, 5000) for k in range(2)]
+    rare = [language(8100 + k, 30, 5000) for k in range(3)]
+    rows = [(k, " ".join([language(8200 + k, 20, 5000), *frequent, language(8300 + k, 20, 5000)])) for k in range(60)]
+    # three pairs of documents share 30 words more, beside what all share
+    for k, (i, j) in enumerate(((20, 50), (13, 41), (31, 32))):
+        for at in (i, j):
+            rows[at] = (at, " ".join([language(8200 + at, 20, 5000), *frequent, rare[k], language(8300 + at, 20, 5000)]))
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered = lambda doc: {p for r in found if r.doc_id == doc for p in range(r.start, r.start + r.n_words)}
+    assert all(set(range(20, 130)) <= covered(k) for k in range(1, 60))
+    for i, j in ((20, 50), (13, 41), (31, 32)):
+        assert set(range(20, 160)) <= covered(j) and not set(range(132, 158)) & covered(i)
+
+
 def test_passages_of_odd_tables(docs, none):
     assert substring_dedup.passages(none).count() == 0
     assert substring_dedup.passages(docs).count() > 0
