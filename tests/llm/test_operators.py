@@ -307,6 +307,17 @@ ITEMS = [(1, "w1 w2 w3"), (2, None), (3, "!!"), (4, language(900, 70, 5000)), (4
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def test_passages_of_rows_with_null_and_repeated_ids(spark, docs, rows):
+    a, b, c, own = language(11000, 70, 5000), language(11001, 70, 5000), language(11002, 70, 5000), [language(11100 + k, 30, 5000) for k in range(9)]
+    odd = [(None, f"{own[0]} {a}"), (None, f"{own[1]} {a}"), (7, f"{own[2]} {b}"), (7, f"{b} {own[3]}"), (7, "short"), (8, f"{own[4]} {c} {own[5]}"), (9, f"{c} {own[6]}"), (9, own[7])]
+    got = sorted(str(r.text) for r in substring_dedup.without_passages(spark.createDataFrame(odd, "doc_id long, text string")).collect())
+    # of each passage one copy stays, and own words stay whole
+    for passage in (a, b, c):
+        assert sum(passage in text for text in got) == 1 and sum(passage[:40] in text for text in got) == 1
+    assert all(sum(words in text for text in got) == 1 for words in own[:8])
+    assert substring_dedup.without_passages(docs).count() == len(rows)
+
+
 def brute_hits(rows, items):
     windows = []
     for item, text in items:
