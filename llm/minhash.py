@@ -9,7 +9,8 @@
    classes share one of the first SKETCH - least_shared + 1, and only those are
    listed.  Values of passages that very many documents share are the last in
    that order and drop out without loss.  Sets of fewer values are their own
-   sketches, and for them nothing is left to chance.
+   sketches, and for them nothing is left to chance: what larger partners hold
+   beyond their sketches is allowed for.
 3. Short lists give all their pairs; long ones link each member with two
    central ones, not with each other.  Pairs pass a bound by sizes and an estimate from the union of both
    sketches, and are then verified on full sets.
@@ -61,6 +62,12 @@ def least_shared(percent: int) -> int:
     return SKETCH
 
 
+@cache
+def least_visible(n: int, percent: int) -> int:
+    """How many values of a set of n < SKETCH values are at least in the sketch of any set similar enough."""
+    sizes = range(-(-n * percent // 100), n * 100 // percent + 1)
+    # of m values m - SKETCH don't show
+    return max(1, min((-(-percent * (n + m) // (100 + percent)) - max(0, m - SKETCH) for m in sizes), default=1))
 
 
 def shingle_sets(part: pa.RecordBatch, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -115,7 +122,7 @@ def listed(sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     shared = values.join(often, "value").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
     kept = F.least(F.col("n"), F.lit(SKETCH))
-    least = F.when(F.col("n") >= SKETCH, F.lit(least_shared(percent))).otherwise(F.ceil(F.col("n") * percent / 100))
+    least = F.when(F.col("n") >= SKETCH, F.lit(least_shared(percent))).otherwise(F.get(F.array(*(F.lit(least_visible(n, percent)) for n in range(SKETCH))), F.col("n").cast("int")))
     listed = F.greatest(F.lit(0), F.size("shared") - least + 1)  # the kept - size(shared) rarest stand in no other sketch
     each = shared.withColumn("central", F.aggregate("shared", F.lit(0).cast("long"), lambda a, x: a + x["often"])).where(kept >= least)
     rows = each.select("node", "n", "central", F.explode(F.slice("shared", F.lit(1), listed.cast("int"))).alias("s")).select(F.col("s.value").alias("value"), "node", "n", "central")

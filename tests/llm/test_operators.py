@@ -124,6 +124,17 @@ def test_near_dedup_of_a_large_group_of_varied_copies(spark):
     assert got == Counter(brute_components(rows, 85))
 
 
+@pytest.mark.parametrize(("percent", "more"), [(85, 11), (80, 15)])
+def test_near_dedup_of_sets_around_the_sketch_size(spark, percent, more):
+    # 63 shingles in 74 or 78: what the larger set has more may all stand in its sketch
+    rows = []
+    for k in range(100):
+        text = language(12000 + k, 67, 50000)
+        rows += [(2 * k, text, None, None, 1, None), (2 * k + 1, text + " " + language(13000 + k, more, 50000), None, None, 1, None)]
+    got = Counter((x.doc_id, x.n_shingles, x.component_id) for x in minhash.grouped(spark.createDataFrame(rows, DOCS), percent).collect())
+    assert got == Counter(brute_components(rows, percent))
+
+
 def brute_bytes(rows):
     rows = sorted(rows)
     seen, out = set(), []
