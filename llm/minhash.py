@@ -12,12 +12,13 @@
    sketches, and for them nothing is left to chance: what larger partners hold
    beyond their sketches is allowed for.
 3. Short lists give all their pairs; long ones link each member with two
-   central ones, not with each other.  Pairs pass a bound by sizes and an estimate from the union of both
-   sketches, and are then verified on full sets.
-4. Long lists whose members are still in more than one component give the pairs
-   across components, less those that figures rule out (sizes, the intersections
-   with the list's first central member, the sketches), which are verified in
-   the same way.
+   central ones, not with each other.  Pairs pass a bound by sizes and an estimate
+   from the union of both sketches, and are then verified on full sets.
+4. Members of long lists that are still in more than one component take their
+   full sets, ordered from the rarest shingle: similar ones share one of the
+   first few, near enough to the front in both for the rest to make the
+   similarity.  What a template gives all its copies is frequent and comes last,
+   so such lists give few pairs, and lose none.  They are verified likewise.
 5. Verified links make components.
 
 Defined results: null and empty texts, and texts without words, have an empty
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components
-from llm.sparkkit import small, stored
+from llm.sparkkit import small, stored, unused
 from llm.textkit import LOWER, buffers, shingles, slices, word_hashes, words
 
 WIDTH = 5
@@ -113,7 +114,7 @@ def values_of(sketches: DataFrame) -> DataFrame:
             out = batch.select(["node", "n"]).take(pa.array(rows))
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate([*each, np.zeros(0, np.int64)]))], ["node", "n", "value"])
 
-    return sketches.mapInArrow(spread, "node binary, n long, value long")
+    return sketches.mapInArrow(spread, "node long, n long, value long")
 
 
 def listed(sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -156,7 +157,7 @@ def estimated(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) ->
 
     s = sketches.select("node", "sketch")
     both = pairs.join(s.withColumnsRenamed({"node": "a", "sketch": "x"}), "a").join(s.withColumnsRenamed({"node": "b", "sketch": "y"}), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(likely, "a binary, b binary")
+    return both.select("a", "b", "x", "y").mapInArrow(likely, "a long, b long")
 
 
 def shared_counts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -172,28 +173,28 @@ def shared_counts(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(figures[:, k]) for k in range(3))], ["a", "b", "n_a", "n_b", "shared"])
 
     both = pairs.join(sets.withColumnsRenamed({"node": "a", "set": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "set": "y"}), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(count, "a binary, b binary, n_a long, n_b long, shared long")
+    return both.select("a", "b", "x", "y").mapInArrow(count, "a long, b long, n_a long, n_b long, shared long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(node, set) of the wanted (doc_id, node) classes, made anew from the text of one document each."""
+    """(node, set) of the wanted (doc_id, node, set_hash) classes, made anew from the text of one document each."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 keys, sets = [], []
-                for want, values in zip(part.column("node").to_pylist(), shingle_sets(part, width), strict=True):
+                for node, want, values in zip(part.column("node").to_pylist(), part.column("set_hash").to_pylist(), shingle_sets(part, width), strict=True):
                     if set_hash(values) == want:  # another row may have the same doc_id
-                        keys.append(want)
+                        keys.append(node)
                         sets.append(values.tobytes())
-                yield pa.RecordBatch.from_pydict({"node": pa.array(keys, pa.binary()), "set": pa.array(sets, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"node": pa.array(keys, pa.int64()), "set": pa.array(sets, pa.binary())})
 
     got = docs.select("doc_id", "text").join(small(wanted, wanted.count()), "doc_id")
-    return got.select("node", "text").mapInArrow(make, "node binary, set binary").groupBy("node").agg(F.first("set").alias("set"))
+    return got.select("node", "set_hash", "text").mapInArrow(make, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """(a, b): verified links that connect whatever is similar enough; classes are (node, n, doc_id, sketch)."""
+    """(a, b): verified links that connect whatever is similar enough; classes are (node, set_hash, n, doc_id, sketch)."""
     lists = stored(listed(classes.select("node", "n", "sketch"), percent), "minhash-lists")
     side = F.xxhash64("node", F.lit(9)) % 2 == 0
     best = lambda c: F.max_by("node", c)
@@ -205,53 +206,76 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, width: in
     x, y = few.alias("x"), few.alias("y")
     near = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & sized(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     star = many.join(pivots.drop("members"), "value").select("node", F.explode(F.array("p1", F.when(F.col("p2") == F.col("p1"), F.col("p3")).otherwise(F.col("p2")))).alias("pivot")).where("pivot IS NOT NULL AND pivot <> node").distinct()
-    nodes = stored(members.select("node").distinct().join(classes.select("node", "n", "doc_id", "sketch"), "node"), "minhash-nodes")
+    nodes = stored(members.select("node").distinct().join(classes, "node"), "minhash-nodes")
     sizes = nodes.select("node", "n")
     far = star.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     far = far.join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b").where(sized(F.col("n"), F.col("m"), percent)).select("a", "b")
     pairs = stored(estimated(near.union(far).distinct(), nodes, percent), "minhash-candidates")
-    sets = stored(full_sets(docs, nodes.select("doc_id", "node"), width), "minhash-sets")
+    sets = stored(full_sets(docs, nodes.select("doc_id", "node", "set_hash"), width), "minhash-sets")
     linked = lambda c: c.where(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * percent)
     first = stored(shared_counts(pairs, sets), "minhash-verified")
-    second = stored(linked(shared_counts(estimated(across(many, pivots, nodes, first, stored(components(linked(first).select("a", "b")), "minhash-roots"), percent), nodes, percent), sets)).select("a", "b"), "minhash-second")
+    roots = stored(components(linked(first).select("a", "b")), "minhash-roots")
+    rest = stored(estimated(across(many, nodes, sets, first, roots, percent), nodes, percent), "minhash-rest")
+    second = stored(linked(shared_counts(rest, sets)).select("a", "b"), "minhash-second")
     return linked(first).select("a", "b").union(second)
 
 
-def across(many: DataFrame, pivots: DataFrame, nodes: DataFrame, known: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of long lists in different components that nothing known rules out, each from the least value they share.
+def ranked(open_sets: DataFrame, percent: int) -> DataFrame:
+    """(token, node, n, place): the first shingles of each set, the rarest of all these sets first, that any set similar enough may share with it.
 
-    Ruled out are pairs by their sizes, by what both share with their list's
-    first central member, and by the values that their sketches share.
+    Two such sets share one of their first `n - least + 1`, with `least` the
+    values that they have in common at least.  Shingles of one set only keep
+    their places but are no rows.
     """
-    placed = many.join(roots, "node", "left").select("value", "node", "n", F.coalesce("root", "node").alias("root"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node").to_pylist(), batch.column("set"), strict=True):
+                values = np.frombuffer(data.as_buffer(), np.int64)
+                size = np.full(len(values), len(values))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(size), pa.array(values)], ["node", "n", "token"])
+
+    tokens = stored(open_sets.mapInArrow(spread, "node long, n long, token long"), "minhash-tokens")
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    own = tokens.join(often, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("shared"))
+    alone = (F.col("n") - F.size("shared")).alias("alone")
+    most = F.floor(F.col("n") * (100 - percent) / 100) + 1
+    first = own.select("node", "n", alone, F.slice("shared", F.lit(1), F.greatest(most - (F.col("n") - F.size("shared")), F.lit(0)).cast("int")).alias("first"))
+    return first.select("node", "n", "alone", F.posexplode("first").alias("k", "s")).select(F.col("s.token").alias("token"), "node", "n", (F.col("alone") + F.col("k")).alias("place"))
+
+
+def across(many: DataFrame, nodes: DataFrame, sets: DataFrame, known: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of members of long lists that are in different components and may be similar enough."""
+    placed = many.join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root"))
     open_lists = placed.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("value")
-    placed = stored(placed.join(open_lists, "value", "left_semi"), "minhash-open")
-    own = placed.groupBy("node").agg(F.collect_set("value").alias("values")).join(nodes.select("node", "sketch"), "node")
-    both = known.select("a", "b", "shared").union(known.select("b", "a", "shared")).toDF("node", "p1", "shared")
-    left = placed.join(pivots.select("value", "p1"), "value").join(both, ["node", "p1"], "left").join(own, "node")
-    retained = F.transform(F.sequence(F.lit(0), F.lit(SKETCH - 1)), lambda i: F.conv(F.hex(F.substring(F.col("sketch"), i * 8 + 1, F.lit(8))), 16, -10).cast("long"))
-    left = left.select("value", "node", "n", "root", F.when(F.col("node") == F.col("p1"), F.col("n")).otherwise(F.col("shared")).alias("shared"), "values", F.when(F.col("n") >= SKETCH, retained).alias("kept"))
-    left = stored(left, "minhash-left")
-    x, y = left.alias("x"), left.alias("y")
-    most = F.least("x.shared", "y.shared") + F.least(F.col("x.n") - F.col("x.shared"), F.col("y.n") - F.col("y.shared"))
-    possible = F.coalesce(most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent, F.lit(True))
-    least = F.array_min(F.array_intersect("x.values", "y.values")) == F.col("x.value")
-    alike = F.coalesce(F.size(F.array_intersect("x.kept", "y.kept")) >= least_shared(percent), F.lit(True))
-    apart = (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & sized(F.col("x.n"), F.col("y.n"), percent)
-    rest = x.join(y, apart & possible & least & alike).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    return rest.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    left = stored(placed.join(open_lists, "value", "left_semi").select("node", "root").distinct(), "minhash-open")
+    if left.isEmpty():
+        return known.select("a", "b").where("false")
+    first = stored(ranked(sets.join(left.select("node"), "node", "left_semi"), percent).join(left, "node"), "minhash-ranked")
+    # each pair across components has one side at least outside the component with most of the shingle's sets
+    each = first.groupBy("token", "root").agg(F.count("*").alias("own"))
+    main = each.groupBy("token").agg(F.max_by("root", F.struct("own", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("token", "main")
+    rows = stored(first.join(main, "token"), "minhash-across")
+    x, y = rows.where("root <> main").alias("x"), rows.alias("y")
+    least = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent))
+    possible = (F.col("x.n") - F.col("x.place") >= least) & (F.col("y.n") - F.col("y.place") >= least)
+    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & sized(F.col("x.n"), F.col("y.n"), percent) & possible)
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def grouped(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, more: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, `more`, n_shingles, component_id and kept of each document."""
     d = stored(digests(docs, width, more), "minhash-digests")
     some = d.where("n_shingles > 0")
-    classes = stored(some.groupBy(F.col("set_hash").alias("node")).agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")), "minhash-classes")
+    each = some.groupBy("set_hash").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
+    classes = stored(each.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")  # numbered once: the table stays as written
     found = stored(components(links(docs, classes.where("doc_id IS NOT NULL"), percent, width)), "minhash-components")
-    placed = classes.select("node", "doc_id").join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    placed = classes.select("node", "set_hash", "doc_id").join(found, "node", "left").select("set_hash", "doc_id", F.coalesce("root", "node").alias("root"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("least"))
-    ids = placed.join(least, "root").select("node", "least")
-    out = d.drop("sketch").join(ids, d["set_hash"] == ids["node"], "left")
+    ids = placed.join(least, "root").select("set_hash", "least")
+    out = d.drop("sketch").join(ids, "set_hash", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return out.select("doc_id", *more, "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
@@ -261,11 +285,11 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
 
     Rows that repeat both id and text are one document.
     """
+    mine, gone_id, gone_text = (unused(docs, k) for k in ("text_key", "gone_id", "gone_text"))
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    gone = grouped(docs.withColumn("_text_key", key), percent, width, ("_text_key",)).where("NOT kept").select(F.col("doc_id").alias("_gone"), "_text_key").distinct()
-    gone = stored(gone, "minhash-gone")
-    mine = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(small(gone, gone.count()), docs["doc_id"].eqNullSafe(F.col("_gone")) & (mine == F.col("_text_key")), "left_anti")
+    gone = grouped(docs.select("doc_id", "text", key.alias(mine)), percent, width, (mine,)).where("NOT kept")
+    gone = stored(gone.select(F.col("doc_id").alias(gone_id), F.col(mine).alias(gone_text)).distinct(), "minhash-gone")
+    return docs.join(small(gone, gone.count()), F.col("doc_id").eqNullSafe(F.col(gone_id)) & (key == F.col(gone_text)), "left_anti")
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -16,10 +16,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder that the cluster shares.
 
     The folder is the session's `spark.checkpoint.dir`; only where that is
-    unset, as in tests on one machine, a temporary folder stands in.
+    unset and all tasks run on this machine, as in tests, a temporary folder
+    stands in.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         if not _own_dir:
             _own_dir.append("file://" + tempfile.mkdtemp(prefix="llm-shared-"))
         root = _own_dir[0]
@@ -46,6 +49,14 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bucket5(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; 0 marks the held-out fold (a null id counts as '')."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
