@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.sparkkit import bucket5
+from llm.sparkkit import bucket5, stored
+
+#: Bytes of text of a training sample; rows beyond are left out, in the order of their ids' hashes.
+TRAIN_BYTES = 48 << 20
 
 
 def sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
@@ -21,6 +24,19 @@ def sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def training(docs: DataFrame, labels: DataFrame, label: str, rows: int, most: int = TRAIN_BYTES, **more: Column) -> DataFrame:
+    """(doc_id, y, text, `more`) of a sample of at most `rows` labelled documents and `most` bytes of text.
+
+    Of rows that repeat an id the one with the least text is taken.
+    """
+    picked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *(c.alias(k) for k, c in more.items())).join(F.broadcast(sample(labels, label, rows)), "doc_id")
+    picked = picked.groupBy("doc_id", "y").agg(F.min(F.struct("text", *more)).alias("one")).select("doc_id", "y", "one.*")
+    picked = stored(picked, "training")
+    sizes = picked.select("doc_id", F.octet_length("text").alias("size"))  # a row for each of the sample's documents
+    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return picked.join(F.broadcast(sizes.select("doc_id", so_far.alias("so_far")).where(F.col("so_far") <= most).select("doc_id")), "doc_id")
+
+
 class Adam:
     def __init__(self, parts: list[np.ndarray], rate: float):
         self.parts, self.rate, self.t = parts, rate, 0

@@ -9,12 +9,13 @@ groups, and the sum, whose size the parameters fix, is what is broadcast.
 A document is the mean over its words of their context vectors and index
 vectors, with the lengths of both means and how often neighbours have the same
 index vector, which tell texts that say few words again and again.  The network is trained on the driver from a bounded sample of
-labelled rows (`TRAIN_ROWS`), its probabilities are calibrated by a temperature
+labelled rows (`TRAIN_ROWS` rows and `labelled.TRAIN_BYTES` bytes of text), its probabilities are calibrated by a temperature
 fitted on rows left out of that training.  Rows of the held-out fold are never
 learned from; only the text is an input of a score.
 
 Defined results: null and empty texts get the score of a text without words;
-texts that repeat score the same; an empty table gives no rows; without labels
+texts that repeat score the same; of rows that repeat an id one is learned from;
+an empty table gives no rows; without labels
 of both kinds the score is the share of good labels (0.5 without labels).
 """
 
@@ -28,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.labelled import Adam, sample, sigmoid, temperature
-from llm.sparkkit import bucket5
+from llm.labelled import Adam, sigmoid, temperature, training
+from llm.sparkkit import bucket5, unused
 from llm.textkit import buffers, runs, slices, word_hashes
 
 #: Rows of the word table, dimensions of its vectors, and neighbours on either side.
@@ -163,8 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
                 x = pooled(part, shared.value)
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "x"])
 
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample(labels, label, rows)), "doc_id")
-    got = picked.select("y", "text").mapInArrow(features, "y int, x binary").limit(2 * rows).toPandas()
+    picked = training(docs, labels, label, rows)
+    got = picked.select("y", "text").mapInArrow(features, "y int, x binary").toPandas()
     got = got.sort_values(["x", "y"], ignore_index=True)  # the same order whatever the partitions were
     x = np.array([np.frombuffer(r, np.float32) for r in got["x"]], np.float64).reshape(len(got), table.shape[1] + 4)
     return table, train(x, got["y"].to_numpy(float))
@@ -190,7 +191,8 @@ def scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id"
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, that score `threshold` or more."""
-    return scored(docs, labels, tuple(docs.columns), name="_quality_score").where(F.col("_quality_score") >= threshold).select(*docs.columns)
+    name = unused(docs, "score")
+    return scored(docs, labels, tuple(docs.columns), name=name).where(F.col(name) >= threshold).select(*docs.columns)
 
 
 def op3_quality_classifier(spark, sf_dir: str) -> DataFrame:

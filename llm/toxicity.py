@@ -6,14 +6,16 @@ theirs.  Filters of several widths slide over the whole text and each keeps its
 maximum; a linear layer on those maxima gives the score.  The first embedding
 dimension starts from how far a word's documents lean to toxic ones in the
 training rows, the rest from noise; everything is then trained by backpropagation
-through the maxima on a bounded sample of labelled rows (`TRAIN_ROWS`).
+through the maxima on a bounded sample of labelled rows (`TRAIN_ROWS` rows and
+`labelled.TRAIN_BYTES` bytes of text).
 
 The score reads the text alone.  A threshold for each language is chosen on
 rows left out of the training, and used only in the column `flagged`; languages
 with too few of those rows keep the threshold 0.5.
 
-Defined results: null and empty texts get the score of a text without words;
-texts that repeat score the same; very long texts are scanned in blocks whose
+Defined results: null and empty texts get the score of a text without words,
+whatever stands beside them; texts that repeat score the same; of rows that
+repeat an id one is learned from; very long texts are scanned in blocks whose
 maxima combine; an empty table gives no rows; without labels of both kinds the
 score is the share of toxic labels (0 without labels).
 """
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.labelled import Adam, sample, sigmoid
+from llm.labelled import Adam, sigmoid, training
 from llm.sparkkit import bucket5
 from llm.textkit import KIND, LOWER, buffers, byte_sums, mix, runs, slices, span_hash
 
@@ -47,16 +49,20 @@ _WORDS = np.where(KIND == 1, 1, 0).astype(np.uint8)
 
 
 def word_rows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """A (TABLES, words) array of embedding rows, each text followed by rows of padding, and the texts' bounds without it."""
+    """A (TABLES, words) array of embedding rows, each text followed by rows of padding, and the texts' bounds without it.
+
+    A text without words has one row of padding in their place.
+    """
     data, offsets = buffers(part.column("text"))
     low = LOWER[data]
     start, end, bounds = runs(low, offsets, _WORDS)
     sums = byte_sums(low)
     hashes = mix(span_hash(sums, start, end))
     n = np.diff(bounds)
-    first = bounds[:-1] + np.arange(len(n)) * _PAD
-    out = np.full((TABLES, len(hashes) + len(n) * _PAD), ROWS, np.int32)
-    at = np.arange(len(hashes)) + np.repeat(np.arange(len(n)) * _PAD, n)
+    ends = np.cumsum(np.maximum(n, 1) + _PAD)
+    first = ends - np.maximum(n, 1) - _PAD
+    out = np.full((TABLES, int(ends[-1]) if len(n) else 0), ROWS, np.int32)
+    at = np.arange(len(hashes)) + np.repeat(first - bounds[:-1], n)
     out[0, at] = hashes & np.uint64(ROWS - 1)
     out[1, at] = (hashes >> np.uint64(32)) & np.uint64(ROWS - 1)
     for k, size in enumerate(STEMS):
@@ -187,8 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
                 x = [np.ascontiguousarray(at[:, s : t + _PAD]).tobytes() for s, t in zip(first, last, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("y"), part.column("lang"), pa.array(x, pa.binary())], ["y", "lang", "x"])
 
-    picked = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(sample(labels, label, rows)), "doc_id")
-    got = picked.select("y", "lang", "text").mapInArrow(hashed, "y int, lang string, x binary").limit(2 * rows).toPandas()
+    picked = training(docs, labels, label, rows, lang=F.col("lang").cast("string"))
+    got = picked.select("y", "lang", "text").mapInArrow(hashed, "y int, lang string, x binary").toPandas()
     got = got.sort_values(["x", "y"], ignore_index=True)  # the same order whatever the partitions were
     texts = [np.frombuffer(x, np.int32).reshape(TABLES, -1) for x in got["x"]]
     y, lang = got["y"].to_numpy(int), got["lang"].to_numpy(object)
