@@ -1,16 +1,22 @@
 """Benchmark decontamination by a distributed positional inverted index, on DataFrame functions alone.
 
-Benchmark items are cut into windows of consecutive words.  Training documents
-yield postings (term, row, position).  One pass counts the benchmark's terms in
-all documents; each window then looks only at the postings of its rarest terms:
-the position of the rarest, less its offset in the window, is a start where the
-window may occur, the same for the second rarest, and starts that both lists
-give are compared word by word, which keeps the exact phrase matches.
-
-Postings are made by exploding words against the wanted terms, which are
-broadcast while their counted number is small, and joined by a shuffle beyond.
-A phrase found in very many documents is very many short rows spread by
-document; nothing groups the rows of a term, window or item in one task.
+Benchmark items are cut into windows of consecutive words, whose terms are the
+index's vocabulary.  One pass over the documents stores the postings (term, row,
+position) of those terms and the number of words of each row; everything after
+reads the index, never the texts:
+
+1. The postings tell how often each term occurs, which orders a window's terms
+   from the rarest.
+2. The list of the rarest, less its offset in the window, gives starts where the
+   window may occur; it is intersected with the list of the next, adjusted
+   likewise.
+3. What is left asks for its other terms at their places, in the postings of the
+   rows that have such starts; starts with all of them are the exact matches.
+
+The vocabulary and the windows' terms are broadcast while their counted number
+is small, and joined by a shuffle beyond.  A phrase found in very many documents
+is very many short rows spread by document; nothing groups the rows of a term,
+window or item in one task.
 
 Defined results: a null text has no words and no hits; an item without words
 has no windows; a row's matches depend on its text alone, so rows that repeat
@@ -23,12 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.sparkkit import BROADCAST_ROWS, small, stored
+from llm.sparkkit import small, stored
 
 #: Words: runs of digits, letters and characters beyond ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Stands after the last word of a document, so that one pass gives postings and lengths; no word holds it.
-END = "\x00end"
+END, END_ID = "\x00end", -1
 WINDOW = 10
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -54,55 +60,53 @@ def windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     return i.select("item_id", "words", start.alias("_at")).select("item_id", F.slice("words", F.col("_at"), F.lit(width)).alias("phrase")).distinct().withColumn("n", F.size("phrase"))
 
 
-def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(term, n): how often each term of the vocabulary stands in all documents."""
-    found = docs.select(F.explode(terms(F.col("text"))).alias("term")).join(vocabulary, "term", "left_semi")
-    return vocabulary.join(found.groupBy("term").agg(F.count("*").alias("n")), "term", "left").select("term", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+def postings_of(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Stored (term_id, doc_id, row_hash, at): every place of a term of the stored vocabulary (term, term_id), and one row more a document.
 
+    That one has END_ID as term and the number of words as place.
+    """
+    known = vocabulary.union(docs.sparkSession.range(1).select(F.lit(END), F.lit(END_ID).cast("long")))
+    words = docs.select("doc_id", row_hash(F.col("text")).alias("row_hash"), terms(F.col("text")).alias("words"))
+    # only functions that Spark compiles stand here, else each place would copy the document's words
+    each = words.select("doc_id", "row_hash", F.posexplode(F.array_append("words", END)).alias("at", "term"))
+    return stored(each.join(small(known, vocabulary.count()), "term").select("term_id", "doc_id", "row_hash", "at"), "decontaminate-postings")
 
-def pivots(phrases: DataFrame, counts: DataFrame) -> DataFrame:
-    """(phrase_id, phrase, n, term1, at1, term2, at2): each phrase's rarest term and the next at another place.
 
-    Phrases of one word have none beyond the first.  Phrases with a term that
-    no document has can't occur and are left out.
-    """
-    each = phrases.select("phrase_id", F.posexplode("phrase").alias("at", "term")).join(counts, "term")
-    ranked = each.groupBy("phrase_id").agg(F.sort_array(F.collect_list(F.struct("n", "term", "at"))).alias("r"))
-    r = ranked.where(F.get("r", 0)["n"] > 0).select("phrase_id", F.get("r", 0).alias("a"), F.get("r", 1).alias("b"))
-    return phrases.join(r, "phrase_id").select("phrase_id", "phrase", "n", F.col("a.term").alias("term1"), F.col("a.at").alias("at1"), F.col("b.term").alias("term2"), F.col("b.at").alias("at2"))
+def ordered_terms(phrases: DataFrame, vocabulary: DataFrame, postings: DataFrame) -> DataFrame:
+    """Stored (phrase_id, n, rank, term_id, offset): each phrase's terms, rank 0 the rarest in the postings; terms without any are left out."""
+    counts = postings.groupBy("term_id").agg(F.count("*").alias("often"))
+    each = phrases.select("phrase_id", "n", F.posexplode("phrase").alias("offset", "term")).join(vocabulary.join(counts, "term_id"), "term")
+    ranked = each.groupBy("phrase_id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "term_id", "offset"))).alias("r"))
+    return stored(ranked.select("phrase_id", "n", F.posexplode("r").alias("rank", "x")).select("phrase_id", "n", "rank", "x.term_id", "x.offset"), "decontaminate-order")
 
 
-def phrase_starts(docs: DataFrame, phrases: DataFrame, counts: DataFrame, width: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, row_hash, phrase_id, start, n): every exact occurrence of a phrase, start counted from 0.
+def starts_of(postings: DataFrame, order: DataFrame) -> DataFrame:
+    """(phrase_id, n, doc_id, row_hash, start): the postings' lists of these phrase terms, less their offsets."""
+    found = postings.join(small(order, order.count()), "term_id")
+    return found.select("phrase_id", "n", "doc_id", "row_hash", (F.col("at") - F.col("offset")).alias("start")).where("start >= 0")
+
+
+def same_row(x: str, y: str) -> Column:
+    return F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.row_hash") == F.col(f"{y}.row_hash"))
 
-    One row more for each document, of no phrase, has its number of words as start.
-    """
-    p = stored(pivots(phrases, counts), "decontaminate-pivots")
-    row = ["doc_id", "row_hash"]
-    words = docs.select("doc_id", row_hash(F.col("text")).alias("row_hash"), terms(F.col("text")).alias("words"))
-    first = p.select("phrase_id", "phrase", "n", F.col("term1").alias("term"), F.col("at1").alias("offset"), F.col("term2"), (F.col("at2") - F.col("at1")).alias("apart"))
-    if p.count() <= broadcast_rows:
-        # a wanted posting keeps the words around it, so that a start is compared in place
-        none = {"term": F.lit(END), "n": F.lit(0), "offset": F.lit(0)}
-        ends = first.sparkSession.range(1).select(*(none.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in first.schema))
-        # only functions that Spark compiles stand here, else each posting would copy the document's words
-        postings = words.select(*row, "words", F.posexplode(F.array_append("words", END)).alias("at", "term"))
-        near = postings.join(F.broadcast(first.union(ends)), "term")
-        around = F.slice("words", F.greatest(F.col("at") - (width - 2), F.lit(1)), F.lit(2 * width - 1))
-        near = near.select(*row, "phrase_id", "phrase", "n", "at", "term2", "apart", (F.col("at") - F.col("offset")).alias("start"), F.when(F.col("phrase_id").isNotNull(), around).alias("around"), F.greatest(F.col("at") - (width - 1), F.lit(0)).alias("first"))
-        other = F.get("around", F.col("at") + F.col("apart") - F.col("first"))
-        both = (F.col("start") >= 0) & (F.col("term2").isNull() | (other == F.col("term2")))
-        same = F.slice("around", F.greatest(F.col("start") - F.col("first") + 1, F.lit(1)), F.col("n")) == F.col("phrase")
-        return near.where(F.col("phrase_id").isNull() | (both & same)).select(*row, "phrase_id", "start", "n")
-    postings = words.select(*row, F.posexplode("words").alias("at", "term"))
-    one = first.join(postings, "term").select("phrase_id", *row, (F.col("at") - F.col("offset")).alias("start"), "term2").alias("x")
-    two = first.where("term2 IS NOT NULL").select("phrase_id", F.col("term2").alias("term"), (F.col("offset") + F.col("apart")).alias("offset")).join(postings, "term").select("phrase_id", *row, (F.col("at") - F.col("offset")).alias("start")).alias("y")
-    both = one.join(two, (F.col("x.phrase_id") == F.col("y.phrase_id")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.row_hash") == F.col("y.row_hash")) & (F.col("x.start") == F.col("y.start")), "left_semi")
-    starts = both.union(one.where("term2 IS NULL")).where("start >= 0").distinct().alias("s")
-    d = words.dropDuplicates(row).alias("d")
-    whole = starts.join(d, F.col("s.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("s.row_hash") == F.col("d.row_hash"))).select("s.*", F.col("d.words").alias("words"))
-    checked = whole.join(p.select("phrase_id", "phrase", "n"), "phrase_id").where(F.slice("words", F.col("start") + 1, F.col("n")) == F.col("phrase"))
-    return checked.select(*row, "phrase_id", "start", "n").union(words.select(*row, F.lit(None).cast("string"), F.size("words"), F.lit(0)))
+
+def phrase_starts(postings: DataFrame, order: DataFrame) -> DataFrame:
+    """(doc_id, row_hash, phrase_id, start, n): every exact occurrence of a phrase, start counted from 0."""
+    row, key = ["doc_id", "row_hash"], ["phrase_id", "n", "doc_id", "row_hash", "start"]
+    whole = order.groupBy("phrase_id").agg(F.count("*").alias("known"), F.first("n").alias("n")).where("known = n").select("phrase_id")
+    order = order.join(whole, "phrase_id", "left_semi")  # a phrase with a term that no document has doesn't occur
+    one = starts_of(postings, order.where("rank = 0"))
+    two = starts_of(postings, order.where("rank = 1")).alias("y")
+    x = one.where("n > 1").alias("x")
+    both = x.join(two, (F.col("x.phrase_id") == F.col("y.phrase_id")) & same_row("x", "y") & (F.col("x.start") == F.col("y.start")), "left_semi")
+    found = stored(both.union(one.where("n = 1")).distinct(), "decontaminate-starts")
+    rest = order.where("rank > 1").select("phrase_id", "term_id", "offset")
+    asked = found.where("n > 2").join(small(rest, rest.count()), "phrase_id").withColumn("at", F.col("start") + F.col("offset")).alias("x")
+    rows = stored(found.where("n > 2").select(*row).distinct(), "decontaminate-rows")
+    places = postings.alias("p").join(small(rows, rows.count()).alias("r"), same_row("p", "r"), "left_semi").where(F.col("term_id") != END_ID).distinct().alias("y")
+    there = asked.join(places, same_row("x", "y") & (F.col("x.at") == F.col("y.at")) & (F.col("x.term_id") == F.col("y.term_id")))
+    full = there.groupBy(*(F.col(f"x.{k}").alias(k) for k in key)).agg(F.count("*").alias("more")).where(F.col("more") == F.col("n") - 2)
+    return full.select(*row, "phrase_id", "start", "n").union(found.where("n <= 2").select(*row, "phrase_id", "start", "n"))
 
 
 def phrases_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -112,13 +116,20 @@ def phrases_of(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFr
     return w.select("phrase_id", "phrase", "n").dropDuplicates(["phrase_id"]), w.select("item_id", "phrase_id")
 
 
+def index(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored postings of the items' terms, the ordered terms of their windows, and (item_id, phrase_id)."""
+    phrases, of = phrases_of(items, width)
+    vocabulary = phrases.select(F.explode("phrase").alias("term")).distinct()
+    vocabulary = stored(vocabulary.withColumn("term_id", F.monotonically_increasing_id()), "decontaminate-terms")
+    postings = postings_of(docs, vocabulary)
+    return postings, ordered_terms(phrases, vocabulary, postings), of
+
+
 def matches(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored (doc_id, row_hash, phrase_id, start, n); (doc_id, row_hash, n_words) of all documents; (item_id, phrase_id)."""
-    phrases, of = phrases_of(items, width)
-    vocabulary = stored(phrases.select(F.explode("phrase").alias("term")).distinct(), "decontaminate-terms")
-    counts = stored(term_counts(docs, small(vocabulary, vocabulary.count())), "decontaminate-counts")
-    found = stored(phrase_starts(docs, phrases, counts, width), "decontaminate-matches")
-    return found.where("phrase_id IS NOT NULL"), found.where("phrase_id IS NULL").select("doc_id", "row_hash", F.col("start").cast("long").alias("n_words")), of
+    postings, order, of = index(docs, items, width)
+    found = stored(phrase_starts(postings, order), "decontaminate-matches")
+    return found, postings.where(F.col("term_id") == END_ID).select("doc_id", "row_hash", F.col("at").cast("long").alias("n_words")), of
 
 
 def covered(spans: Column) -> Column:
@@ -160,18 +171,18 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
 def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 3, width: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, start, gap): windows whose two rarest terms stand near each other as in the window.
 
-    The distance between both terms may differ from that in the window by
-    `slop` words; gap is the difference, 0 where they stand exactly as in the window.
+    Terms that no document has are passed over.  The distance between both terms
+    may differ from that in the window by `slop` words; gap is the difference, 0
+    where they stand exactly as in the window.
     """
-    phrases, of = phrases_of(items, width)
-    vocabulary = phrases.select(F.explode("phrase").alias("term")).distinct()
-    p = stored(pivots(phrases, term_counts(docs, vocabulary)), "decontaminate-near").where("term2 IS NOT NULL")
-    postings = docs.select("doc_id", row_hash(F.col("text")).alias("row_hash"), F.posexplode(terms(F.col("text"))).alias("at", "term"))
-    one = p.select("phrase_id", F.col("term1").alias("term"), "at1", "at2").join(postings, "term").select("phrase_id", "doc_id", "row_hash", "at1", "at2", F.col("at").alias("p1")).alias("x")
-    two = p.select("phrase_id", F.col("term2").alias("term")).join(postings, "term").select("phrase_id", "doc_id", "row_hash", F.col("at").alias("p2")).alias("y")
-    gap = (F.col("p2") - F.col("p1")) - (F.col("at2") - F.col("at1"))
-    near = one.join(two, (F.col("x.phrase_id") == F.col("y.phrase_id")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.row_hash") == F.col("y.row_hash")) & (F.abs(gap) <= slop))
-    return near.select("x.phrase_id", "x.doc_id", (F.col("p1") - F.col("at1")).alias("start"), gap.alias("gap")).join(of, "phrase_id").select("doc_id", "item_id", "start", "gap").distinct()
+    postings, order, of = index(docs, items, width)
+    one, two = (starts_of(postings, order.where(F.col("rank") == k)) for k in (0, 1))
+    cell = F.floor(F.col("start") / (slop + 1))
+    x = one.withColumn("cell", cell).alias("x")
+    y = two.withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1))).alias("y")  # starts at most slop apart lie in neighbouring cells
+    gap = F.col("y.start") - F.col("x.start")
+    near = x.join(y, (F.col("x.phrase_id") == F.col("y.phrase_id")) & same_row("x", "y") & (F.col("x.cell") == F.col("y.cell")) & (F.abs(gap) <= slop))
+    return near.select("x.phrase_id", "x.doc_id", "x.start", gap.alias("gap")).join(of, "phrase_id").select("doc_id", "item_id", "start", "gap").distinct()
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, repeated_bytes, substring_dedup, toxicity, url_filter, warc
+from llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, repeated_bytes, sparkkit, substring_dedup, toxicity, url_filter, warc
+from llm.labelled import training
 from llm.sparkkit import shared_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, value string"
@@ -349,7 +351,7 @@ def brute_hits(rows, items):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0])
 def test_decontamination_matches_brute_force(spark, docs, rows, broadcast_rows, monkeypatch):
-    monkeypatch.setattr(decontaminate.phrase_starts, "__defaults__", (10, broadcast_rows))
+    monkeypatch.setattr(sparkkit, "BROADCAST_ROWS", broadcast_rows)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = Counter(tuple(r)[:6] for r in decontaminate.judged(docs, items).collect())
     assert got == Counter(brute_hits(rows, ITEMS))
@@ -364,6 +366,9 @@ def test_decontamination_cleans_and_takes_empty_tables(spark, docs, rows, none):
     assert decontaminate.clean(docs, items.limit(0)).count() == len(rows)
     near = decontaminate.proximity_matches(spark.createDataFrame([(1, "a rare x x b thing"), (2, "a b"), (3, None)], "doc_id long, text string"), spark.createDataFrame([(9, "rare b")], "item_id long, text string"))
     assert [tuple(r) for r in near.collect()] == [(1, 9, 1, 2)]
+    # a word that no document has doesn't hide the others
+    near = decontaminate.proximity_matches(spark.createDataFrame([(1, "p a rare x b q"), (2, "a q b")], "doc_id long, text string"), spark.createDataFrame([(9, "unknown rare b")], "item_id long, text string"))
+    assert [tuple(r) for r in near.collect()] == [(1, 9, 1, 1)]
 
 
 def test_mixing_takes_what_the_targets_say(spark, docs, rows, none):
@@ -452,6 +457,18 @@ def test_url_keys_sort_hosts_together():
     assert warc.url_key("") == ""
 
 
+def text_batch(texts):
+    return pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+
+
+def test_training_samples_are_bounded_and_take_one_row_of_an_id(spark, docs):
+    labels = labelled(spark, [(i, i % 2, 0) for i in range(101)])
+    got = training(docs, labels, "quality", 1000).collect()
+    assert len(got) == len({x.doc_id for x in got}) > 20
+    few = training(docs, labels, "quality", 1000, 5000).collect()
+    assert 0 < sum(len(x.text.encode()) for x in few) <= 5000
+
+
 def labelled(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
@@ -485,11 +502,21 @@ def test_quality_classifier_on_the_held_out_fold(judged_docs, none):
     assert {r.score for r in quality_classifier.scored(docs, labels.limit(0)).collect()} == {0.5}
 
 
-def test_toxicity_on_the_held_out_fold(judged_docs, none):
+def test_toxicity_on_the_held_out_fold(judged_docs, none, monkeypatch):
     docs, labels, truth = judged_docs
     got = toxicity.scored(docs, labels).collect()
     assert len(got) == 900 and all(0 <= r.score <= 1 for r in got)
     own = [(r.score >= 0.5) == (truth[r.doc_id][1] == 1) for r in got if r.doc_id in truth and r.doc_id > 5]
     assert sum(own) > 0.97 * len(own)
     assert toxicity.scored(none, labels).count() == 0
+    model, _ = toxicity.fit(docs, labels)
+    odd = [None, "", "w1 w2", "dolt w5", "...", "meanie", language(5, 700) + " dolt", language(6, 300)]
+    alone = [float(toxicity.probability(model, *toxicity.word_rows(text_batch([x])))[0]) for x in odd]
+    assert alone[0] == alone[1] == alone[4] < 0.5 < alone[3]
+    for turn in range(len(odd)):
+        order = odd[turn:] + odd[:turn] + odd[::-1]
+        together = toxicity.probability(model, *toxicity.word_rows(text_batch(order)))
+        assert np.allclose(together, [alone[odd.index(x)] for x in order], atol=1e-6)
+    monkeypatch.setattr(toxicity, "BLOCK", 64)  # long texts go block by block
+    assert np.allclose(toxicity.probability(model, *toxicity.word_rows(text_batch(odd))), alone, atol=1e-6)
     assert {r.score for r in toxicity.scored(docs, labels.limit(0)).collect()} == {0.0}
