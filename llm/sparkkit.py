@@ -40,13 +40,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: A side of a join is broadcast up to this many rows (counted), and shuffled beyond.
-BROADCAST_ROWS = 100_000
+#: A side of a join is broadcast up to this many bytes, and shuffled beyond.
+BROADCAST_BYTES = 8 << 20
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """df with a broadcast hint if its counted rows are few; else as it is."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int, width: int = 64) -> DataFrame:
+    """df with a broadcast hint if its counted rows, of about `width` bytes each, are few; else as it is.
+
+    Where a column is an array, rows is the number of its elements besides.
+    """
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -351,7 +351,7 @@ def brute_hits(rows, items):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0])
 def test_decontamination_matches_brute_force(spark, docs, rows, broadcast_rows, monkeypatch):
-    monkeypatch.setattr(sparkkit, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(sparkkit, "BROADCAST_BYTES", 64 * broadcast_rows)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = Counter(tuple(r)[:6] for r in decontaminate.judged(docs, items).collect())
     assert got == Counter(brute_hits(rows, ITEMS))
