@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components
-from llm.sparkkit import small, stored, unused
+from llm.sparkkit import WORD, small, stored, unused
 from llm.textkit import LOWER, buffers, shingles, slices, word_hashes, words
 
 WIDTH = 5
@@ -294,3 +294,17 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
     return grouped(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP9_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {WIDTH - 1}], ' ') AS t FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WIDTH - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= {PERCENT} * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.c = e.x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id, min(r.c) = d.doc_id AS kept
+FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from llm.decontaminate import OP7_SQL, op7_decontaminate
-from llm.minhash import op9_near_dedup
+from llm.minhash import OP9_SQL, op9_near_dedup
 from llm.mixing import OP8_SQL, op8_mix
 from llm.quality_classifier import op3_quality_classifier
 from llm.repeated_bytes import OP4_SQL, op4_repeated_bytes
@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op4_repeated_bytes": OP4_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op1_url_filter": OP1_SQL, "op4_repeated_bytes": OP4_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op9_near_dedup": OP9_SQL, "op10_quality_rules": OP10_SQL}

@@ -37,6 +37,8 @@ from llm.sparkkit import shared_dir, small, stored
 REVISIT_BYTES = 1000
 #: Records of one archive file at most, captures of an index block at least, keys of the directory at most.
 FILE_RECORDS, BLOCK_CAPTURES, DIRECTORY_KEYS = 500, 512, 20_000
+#: Bytes of one archive file at most, but for a single record; records beyond a share of it go to files of their own.
+FILE_BYTES = 128 << 20
 _CAPTURE = "key string, page_id long, path string, offset long, length long"
 _END = b"\r\n\r\n"
 
@@ -72,8 +74,23 @@ def records(pages: DataFrame) -> DataFrame:
     return p.select(F.concat(head, body).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str) -> None:
-    records(pages).write.option("lineSep", _END.decode()).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+def write_archives(pages: DataFrame, path: str, most: int = FILE_BYTES) -> None:
+    """Writes the records of all pages to files below path, of FILE_RECORDS and about `most` bytes at most."""
+    every = records(pages)
+    size = F.octet_length("value")
+    share = most // FILE_RECORDS
+    # a record is longer than its page: by its headers, and the url in them
+    largest = pages.agg(F.max(F.coalesce(F.octet_length("html"), F.lit(0)) + 3 * F.coalesce(F.octet_length("url"), F.lit(0)))).first()[0] or 0
+    largest += 1500
+
+    def write(some: DataFrame, n: int) -> None:
+        some.write.mode("append").option("lineSep", _END.decode()).option("maxRecordsPerFile", n).text(path)
+
+    if largest <= share:
+        write(every, FILE_RECORDS)
+    else:
+        write(every.where(size <= share), FILE_RECORDS)
+        write(every.where(size > share), min(FILE_RECORDS, max(1, most // largest)))
 
 
 def url_key(url: str) -> str:
@@ -183,37 +200,71 @@ def lookup(wanted: DataFrame, blocks: DataFrame, directory: list[tuple[tuple, in
     return groups.join(blocks.select("block", "data"), "block").select("wants", "data").mapInArrow(search, _CAPTURE)
 
 
+_READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, key string"
+#: Schemes of Hadoop's connectors and those by which the same stores are opened for range reads.
+RANGE_SCHEMES = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def _read(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    """What (key, record) pairs say."""
+    out = []
+    for key, data in rows:
+        head, at = parse_head(data, 0)
+        http, body = parse_head(data, at)
+        payload = data[body:]
+        kind = head["warc-type"]
+        whole = kind == "response"
+        digest = hashlib.sha1(payload).hexdigest() if whole else head["warc-payload-digest"].rpartition(":")[2]
+        out.append((_page(head["warc-record-id"]), len(payload) if whole else int(http["content-length"]), digest, kind, None if whole else _page(head["warc-refers-to"]), key))
+    columns = list(zip(*out, strict=True)) or [[]] * 6
+    types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "key"])
+
+
 def read_ranges(found: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to and key of each capture, read from its bytes."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to and key of each capture, read from its bytes.
+
+    Stores of RANGE_SCHEMES are read range by range; from others, which only
+    Spark opens, come whole archive files, whose size is bounded.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         name, file = None, None
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 64):
+                    rows = []
+                    for key, path, offset, length in zip(*(batch.slice(at, 64).column(k).to_pylist() for k in ("key", "path", "offset", "length")), strict=True):
+                        if path != name:
+                            if file:
+                                file.close()
+                            scheme, _, rest = path.partition(":")
+                            store, inner = fs.FileSystem.from_uri(f"{RANGE_SCHEMES[scheme]}:{rest}")
+                            name, file = path, store.open_input_file(inner)
+                        rows.append((key, file.read_at(length, offset)))
+                    yield _read(rows)
+        finally:
+            if file:
+                file.close()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, path, offset, length in zip(*(batch.column(k).to_pylist() for k in ("key", "path", "offset", "length")), strict=True):
-                if path != name:
-                    if file:
-                        file.close()
-                    store, inner = fs.FileSystem.from_uri(path)
-                    name, file = path, store.open_input_file(inner)
-                data = file.read_at(length, offset)
-                head, at = parse_head(data, 0)
-                http, body = parse_head(data, at)
-                payload = data[body:]
-                kind = head["warc-type"]
-                whole = kind == "response"
-                digest = hashlib.sha1(payload).hexdigest() if whole else head["warc-payload-digest"].rpartition(":")[2]
-                out.append((_page(head["warc-record-id"]), len(payload) if whole else int(http["content-length"]), digest, kind, None if whole else _page(head["warc-refers-to"]), key))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "key"])
-        if file:
-            file.close()
-
-    near = found.repartition("path").sortWithinPartitions("path", "offset").select("key", "path", "offset", "length")
-    return near.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, key string")
+            for content, ranges in zip(batch.column("content"), batch.column("ranges").to_pylist(), strict=True):
+                data = content.as_buffer()
+                for at in range(0, len(ranges), 64):
+                    yield _read([(r["key"], data[r["offset"] : r["offset"] + r["length"]].to_pybytes()) for r in ranges[at : at + 64]])
+
+    found = stored(found, "warc-ranges")
+    schemes = {r[0] for r in found.select(F.split("path", ":")[0]).distinct().collect()}
+    if schemes <= set(RANGE_SCHEMES):
+        near = found.repartition("path").sortWithinPartitions("path", "offset").select("key", "path", "offset", "length")
+        return near.mapInArrow(read, _READ)
+    folders = [r[0] for r in found.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect()]
+    ranges = found.groupBy("path").agg(F.collect_list(F.struct("key", "offset", "length")).alias("ranges"))
+    files = found.sparkSession.read.format("binaryFile").load(folders).select("path", "content")
+    return files.join(ranges, "path").select("content", "ranges").mapInArrow(cut, _READ)
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:

@@ -452,6 +452,21 @@ def test_warc_round_trip(spark):
     assert warc.captures(spark, empty).count() == 0
 
 
+def test_warc_of_large_pages_and_other_stores(spark, monkeypatch):
+    rows = [(i, f"http://a.b/{i}", "x" * (20 << 20) if i == 3 else f"page {i} " * (40_000 if i % 4 == 0 else 30)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    path = shared_dir(spark, "warc-test")
+    warc.write_archives(pages, path, 30 << 20)
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    assert max(f.length for f in files) < 31 << 20 and len(files) > 10
+    want = Counter((i, len(html), hashlib.sha1(html.encode()).hexdigest()) for i, _, html in rows)
+    blocks, directory = warc.build_index(warc.captures(spark, path))
+    found = warc.lookup(pages.select("url", "page_id"), blocks, directory)
+    for schemes in (warc.RANGE_SCHEMES, {}):  # the second reads whole files, as from a store that only Spark opens
+        monkeypatch.setattr(warc, "RANGE_SCHEMES", schemes)
+        assert Counter(tuple(r)[:3] for r in warc.read_ranges(found).collect()) == want
+
+
 def test_url_keys_sort_hosts_together():
     assert warc.url_key("http://www.Example.org/a?b") == "org,example,www)/a?b"
     assert warc.url_key("") == ""
