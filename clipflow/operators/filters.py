@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -90,17 +91,27 @@ def low_boxes_dropped(d: DataFrame, class_name: str, height: float) -> DataFrame
     return d.where(~F.coalesce((F.col("class_name") == class_name) & (F.col("dz") < height), F.lit(False)))
 
 
-def spinning_tracks(obs: DataFrame, classes: tuple[str, ...] | None, least: int, span: float, step: float, flips: int) -> DataFrame:
-    """(track_id, n_obs, span, flips): tracks whose axis turns about as no vehicle's does (of all classes if classes is None).
+def axis_spans(obs: DataFrame, step: float) -> DataFrame:
+    """(track_id, n_obs, span, flips): the largest angle between two axes of a track, and its turns of `step` or more from row to row.
 
-    The span is the largest angle between two axes of the track, whose distinct
-    axes are compared inside its row.
+    The axis farthest from another is the last before a quarter turn on, or the
+    first after it, so two windows over the sorted axes find it.
     """
     from clipflow.functions.angles import axis_turn
 
-    o = obs if classes is None else obs.where(F.col("class_name").isin(*classes))
     order = W.partitionBy("track_id").orderBy("t_us", "event_id")
-    o = o.withColumn("_turn", axis_turn(F.col("yaw"), F.lag("yaw").over(order)))
-    t = o.groupBy("track_id").agg(F.count("*").alias("n_obs"), F.sort_array(F.collect_set(F.pmod("yaw", F.lit(3.141592653589793)))).alias("_a"), F.count_if(F.col("_turn") >= step).alias("flips"))
-    widest = F.aggregate("_a", F.lit(0.0), lambda m, a: F.greatest(m, F.aggregate("_a", F.lit(0.0), lambda k, b: F.greatest(k, axis_turn(a, b)))))
-    return t.select("track_id", "n_obs", widest.alias("span"), "flips").where((F.col("n_obs") >= least) & (F.col("span") >= span) & (F.col("flips") >= flips))
+    o = obs.withColumn("_turn", axis_turn(F.col("yaw"), F.lag("yaw").over(order)))
+    turns = o.groupBy("track_id").agg(F.count("*").alias("n_obs"), F.count_if(F.col("_turn") >= step).alias("flips"))
+    a = obs.select("track_id", F.pmod("yaw", F.lit(math.pi)).alias("_a")).where("_a IS NOT NULL").distinct()
+    # up to a quarter turn on: the farthest axis ahead; those beyond are nearer the other way round
+    over = "OVER (PARTITION BY track_id ORDER BY _a RANGE BETWEEN {} AND {}D FOLLOWING)"
+    a = a.withColumn("_far", F.expr("last(_a) " + over.format("CURRENT ROW", math.pi / 2)))
+    a = a.withColumn("_next", F.expr("first(_a) " + over.format(f"{math.pi / 2}D FOLLOWING", math.pi)))
+    wide = a.groupBy("track_id").agg(F.max(F.greatest(F.col("_far") - F.col("_a"), F.coalesce(math.pi - (F.col("_next") - F.col("_a")), F.lit(0.0)))).alias("span"))
+    return turns.join(wide, "track_id", "left").select("track_id", "n_obs", F.coalesce("span", F.lit(0.0)).alias("span"), "flips")
+
+
+def spinning_tracks(obs: DataFrame, classes: tuple[str, ...] | None, least: int, span: float, step: float, flips: int) -> DataFrame:
+    """(track_id, n_obs, span, flips): tracks whose axis turns about as no vehicle's does (of all classes if classes is None)."""
+    o = obs if classes is None else obs.where(F.col("class_name").isin(*classes))
+    return axis_spans(o, step).where((F.col("n_obs") >= least) & (F.col("span") >= span) & (F.col("flips") >= flips))

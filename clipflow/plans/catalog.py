@@ -361,16 +361,3 @@ def export_labels(spark, sf):
     made = label(F.col("track_id") + 1000, F.col("class_name"), F.col("score"), {k: F.col(k) for k in ("x", "y", "z", "dx", "dy", "dz", "yaw")})
     d = b.select("frame_id", made.alias("l"))
     return d.select("frame_id", "l.obj_id", "l.obj_type", (F.col("l.psr.position.x") + 0.0).alias("px"), (F.col("l.psr.scale.x") + 0.0).alias("sx"), (F.col("l.psr.rotation.z") + 0.0).alias("rz"))
-
-
-def geometry_oriented_overlap(spark, sf):
-    """Pairs of a frame's boxes that overlap as oriented boxes (no SQL: polygons are clipped)."""
-    b = box_table(spark, sf).select("frame_id", "det_idx", "x", "y", "dx", "dy", "yaw")
-    reach = lambda s: F.hypot(s["dx"], s["dy"]) / 2
-    pairs = joins.pairs_of_frame(b, lambda p, q: F.hypot(p["x"] - q["x"], p["y"] - q["y"]) <= reach(p) + reach(q))
-    col = lambda s: {c: F.col(f"{s}.{c}") for c in ("x", "y", "dx", "dy", "yaw")}
-    d = pairs.select("a.frame_id", F.col("a.det_idx").alias("det_a"), F.col("b.det_idx").alias("det_b"), boxes.oriented_iou(col("a"), col("b")).alias("iou"))
-    return rounded(d.where("iou > 0"))
-
-
-QUERIES["geometry_oriented_overlap"] = geometry_oriented_overlap

@@ -51,6 +51,15 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 BOXES = "box AS (SELECT l_orderkey::BIGINT AS frame_id, l_linenumber::INT AS det_idx, l_suppkey::BIGINT AS track_id, CASE l_returnflag WHEN 'A' THEN 'Car' WHEN 'R' THEN 'Truck' ELSE 'Pedestrian' END AS class_name, l_discount::DOUBLE * 10 AS score, l_quantity::DOUBLE - 25 AS x, l_extendedprice::DOUBLE / 1000 - 30 AS y, l_tax::DOUBLE * 10 AS z, l_quantity::DOUBLE / 5 + 1 AS dx, l_tax::DOUBLE * 20 + 1 AS dy, l_discount::DOUBLE * 10 + 1 AS dz, l_tax::DOUBLE * 30 AS yaw FROM lineitem)"
 
 
+def tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes with the time of their frame (t_us) and a number of their own (event_id), as observations of their track."""
+    b = boxes(spark, sf_dir)
+    return b.withColumn("t_us", F.col("frame_id") * 200_000).withColumn("event_id", (F.col("frame_id") * 10 + F.col("det_idx")) * 100_000_000 + F.round((F.col("y") + 30) * 100_000).cast("long"))
+
+
+TRACKED = f"{BOXES}, trk AS (SELECT *, frame_id * 200000 AS t_us, (frame_id * 10 + det_idx) * 100000000 + round((y + 30) * 100000)::BIGINT AS event_id FROM box)"
+
+
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(track_id, class_name, score, frame_id): what a model said of each track, by frame."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
