@@ -115,3 +115,12 @@ def spinning_tracks(obs: DataFrame, classes: tuple[str, ...] | None, least: int,
     """(track_id, n_obs, span, flips): tracks whose axis turns about as no vehicle's does (of all classes if classes is None)."""
     o = obs if classes is None else obs.where(F.col("class_name").isin(*classes))
     return axis_spans(o, step).where((F.col("n_obs") >= least) & (F.col("span") >= span) & (F.col("flips") >= flips))
+
+
+def class_view(d: DataFrame, keep: tuple[str, ...], folded: dict[str, str]) -> DataFrame:
+    """Rows of the kept classes, others folded into them by `folded` first; a frame without any stays as one row of nulls."""
+    name = F.col("class_name")
+    for old, new in folded.items():
+        name = F.when(F.col("class_name") == old, F.lit(new)).otherwise(name)
+    rows = d.withColumn("class_name", name).where(F.col("class_name").isin(*keep))
+    return d.select("frame_id").distinct().join(rows, "frame_id", "left")

@@ -60,6 +60,22 @@ def tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRACKED = f"{BOXES}, trk AS (SELECT *, frame_id * 200000 AS t_us, (frame_id * 10 + det_idx) * 100000000 + round((y + 30) * 100000)::BIGINT AS event_id FROM box)"
 
 
+def cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(frame_id, px, py, pz): three points for each box, on a line through its centre."""
+    b = boxes(spark, sf_dir).select("frame_id", "x", "y", "z", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("k"))
+    return b.select("frame_id", (F.col("x") + F.col("k") * 0.7).alias("px"), (F.col("y") + F.col("k") * 0.4).alias("py"), (F.col("z") + F.col("k") * 0.45).alias("pz"))
+
+
+def clip_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(clip, t_us, place, quaternion): poses of ten clips over the time of the frames."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    half = (F.col("o_orderkey") % 63) / F.lit(20.0)
+    return o.select(
+        (F.col("o_custkey") % 10).alias("clip"), (F.col("o_orderkey") * 200_000 + 70_000).alias("t_us"), (F.col("o_totalprice").cast("double") / 1000).alias("px"), (F.col("o_custkey").cast("double") / 10).alias("py"), F.lit(1.0).alias("pz"),
+        ((F.col("o_orderkey") % 3) / F.lit(10.0)).alias("qx"), F.lit(0.0).alias("qy"), F.sin(half).alias("qz"), F.cos(half).alias("qw"),
+    )
+
+
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(track_id, class_name, score, frame_id): what a model said of each track, by frame."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
