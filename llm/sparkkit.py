@@ -41,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 #: A side of a join is broadcast up to this many bytes, and shuffled beyond.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame, rows: int, width: int = 64) -> DataFrame:
