@@ -118,9 +118,9 @@ def stop_line(d: DataFrame, by: str, first: str, every: str, reach: float) -> Da
     return a.select(by, F.when(F.col("_n") == 0, F.col("_all")).when((F.col("_n") > 1) & (F.col("_max") - F.col("_mid") > reach), F.col("_q")).otherwise(F.col("_max")).alias("line"))
 
 
-def binned_evidence(obs: DataFrame, width_us: int) -> DataFrame:
-    """(class_name, bin, active, samples, high): tracks once a bin, samples each."""
-    return obs.groupBy("class_name", F.floor(F.col("t_us") / width_us).alias("bin")).agg(F.count_distinct("track_id").alias("active"), F.count("*").alias("samples"), F.count_if(F.col("x") >= 50).alias("high"))
+def binned_evidence(obs: DataFrame, width_us: int, high: Column) -> DataFrame:
+    """(class_name, bin, active, samples, high): tracks once a bin, samples each, and those for which `high` holds."""
+    return obs.groupBy("class_name", F.floor(F.col("t_us") / width_us).alias("bin")).agg(F.count_distinct("track_id").alias("active"), F.count("*").alias("samples"), F.count_if(high).alias("high"))
 
 
 def stage_summary(d: DataFrame) -> DataFrame:

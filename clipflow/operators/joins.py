@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clipflow.functions.boxes import aligned_intersection, iou
+from clipflow.operators.groups import linked_groups
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, by: str, tolerance_us: int) -> DataFrame:
@@ -69,22 +70,12 @@ def same_centre_kept(d: DataFrame, gate: float, priority: Column) -> DataFrame:
     """One detection of each group of a frame that hangs together within the gate.
 
     Kept is the one of the best class, then of the track with the longest life,
-    then of the best score, then the first.  A frame has few detections, so
-    groups grow by rounds over the pairs until no label changes.
+    then of the best score, then the first.
     """
     life = d.groupBy("track_id").agg(F.count_distinct("frame_id").alias("_life"))
-    near = same_centre_pairs(d, gate)
-    both = near.select("frame_id", F.col("det_a").alias("det_idx"), F.col("det_b").alias("_other")).union(near.select("frame_id", "det_b", "det_a"))
-    lists = both.groupBy("frame_id").agg(F.collect_list(F.struct("det_idx", "_other")).alias("_links"), F.array_distinct(F.collect_list("det_idx")).alias("_nodes"))
-    # labels: the least detection reachable; as many rounds as a frame has linked detections
-    start = F.map_from_arrays(F.col("_nodes"), F.col("_nodes"))
-
-    def lower(labels: Column, _: Column) -> Column:
-        least = lambda node, label: F.aggregate(F.filter("_links", lambda e: e["det_idx"] == node), label, lambda m, e: F.least(m, F.element_at(labels, e["_other"])))
-        return F.transform_values(labels, least)
-
-    labels = F.aggregate("_nodes", start, lower)
-    grouped = lists.select("frame_id", F.explode(F.map_entries(labels)).alias("e")).select("frame_id", F.col("e.key").alias("det_idx"), F.col("e.value").alias("_group"))
+    end = lambda c: F.struct("frame_id", F.col(c).alias("det_idx"))
+    links = same_centre_pairs(d, gate).select(end("det_a").alias("a"), end("det_b").alias("b"))
+    grouped = linked_groups(links).select("node.frame_id", "node.det_idx", F.col("root.det_idx").alias("_group"))
     rank = W.partitionBy("frame_id", F.coalesce("_group", "det_idx")).orderBy(priority.asc(), F.desc("_life"), F.desc("score"), "det_idx")
     joined = d.join(life, "track_id", "left").join(grouped, ["frame_id", "det_idx"], "left")
     return joined.withColumn("_n", F.row_number().over(rank)).where("_n = 1").select(*d.columns)

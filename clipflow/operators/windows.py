@@ -113,11 +113,18 @@ def first_break(obs: DataFrame, acceleration: float) -> DataFrame:
     return s.where((F.col("_dot") < 0) | (F.col("_acc") > acceleration)).groupBy("track_id").agg(F.min("_i").alias("break_at"))
 
 
-def interval_speeds(obs: DataFrame, intervals: DataFrame, margin_us: int) -> DataFrame:
-    """(track_id, start_us, n, mean_speed, max_speed) of each interval widened by the margin on either side."""
-    s, i = stepped(obs).alias("s"), intervals.alias("i")
-    inside = (F.col("s.track_id") == F.col("i.track_id")) & F.col("s.t_us").between(F.col("i.start_us") - margin_us, F.col("i.end_us") + margin_us)
-    return i.join(s, inside, "left").groupBy("i.track_id", "i.start_us").agg(F.count("s.speed").alias("n"), F.avg("s.speed").alias("mean_speed"), F.max("s.speed").alias("max_speed"))
+def interval_speeds(obs: DataFrame, intervals: DataFrame, margin_us: int, bin_us: int = 21_600_000_000) -> DataFrame:
+    """(track_id, start_us, n, mean_speed, max_speed) of each interval widened by the margin on either side.
+
+    Rows meet the intervals of their track and time bin only.
+    """
+    low, high = F.col("start_us") - margin_us, F.col("end_us") + margin_us
+    i = intervals.select("track_id", "start_us", low.alias("_low"), high.alias("_high")).distinct()
+    bins = F.sequence(F.floor(F.col("_low") / bin_us), F.floor(F.col("_high") / bin_us))
+    s = stepped(obs).select("track_id", "t_us", "speed", F.floor(F.col("t_us") / bin_us).alias("_bin"))
+    met = i.withColumn("_bin", F.explode(bins)).join(s, ["track_id", "_bin"]).where("t_us BETWEEN _low AND _high")
+    own = met.groupBy("track_id", "start_us").agg(F.count("speed").alias("n"), F.avg("speed").alias("mean_speed"), F.max("speed").alias("max_speed"))
+    return i.select("track_id", "start_us").join(own, ["track_id", "start_us"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def radial_departures(obs: DataFrame, near: float, far: float, step: float, rows: int, least: int, total: float) -> DataFrame:
@@ -137,3 +144,92 @@ def principal_axis(obs: DataFrame) -> DataFrame:
     o = obs.withColumn("axis", F.atan2(2 * cov("x", "y"), cov("x", "x") - cov("y", "y")) / 2)
     along = F.col("x") * F.cos("axis") + F.col("y") * F.sin("axis")
     return o.groupBy("track_id").agg(F.first("axis").alias("axis"), (F.max(along) - F.min(along)).alias("span"))
+
+
+def steady_windows(obs: DataFrame, rows: int, path: float, speed: float, concentration: float, forward: int, most_gap_us: int) -> DataFrame:
+    """(track_id, event_id, path, net): each track's first window of `rows` rows in which it clearly moves on.
+
+    It goes `path` at least, straight by `concentration`, at a net `speed`, with
+    `forward` steps along the way from first to last, and without a long gap.
+    """
+    near = along().rowsBetween(0, rows - 1)
+    s = stepped(obs).withColumn("_sx", F.col("x") - F.lag("x").over(along())).withColumn("_sy", F.col("y") - F.lag("y").over(along()))
+    steps = F.slice(F.collect_list(F.struct("_sx", "_sy", "step", "dt")).over(near), 2, rows)  # the first row's step leads to it
+    e = s.withColumn("_steps", steps).withColumn("_dx", F.last("x").over(near) - F.col("x")).withColumn("_dy", F.last("y").over(near) - F.col("y")).withColumn("_time", (F.last("t_us").over(near) - F.col("t_us")) / 1e6)
+    e = e.where(F.size("_steps") == rows - 1)
+    total = F.aggregate("_steps", F.lit(0.0), lambda a, v: a + v["step"])
+    ahead = F.size(F.filter("_steps", lambda v: v["_sx"] * F.col("_dx") + v["_sy"] * F.col("_dy") > 0))
+    e = e.withColumn("path", total).withColumn("net", F.hypot("_dx", "_dy"))
+    ok = (F.col("path") >= path) & (F.col("net") >= concentration * F.col("path")) & (F.col("net") >= speed * F.col("_time")) & (ahead >= forward) & F.forall("_steps", lambda v: v["dt"] * 1e6 <= most_gap_us)
+    return e.where(ok).groupBy("track_id").agg(F.min_by(F.struct("event_id", "path", "net"), F.struct("t_us", "event_id")).alias("w")).select("track_id", "w.*")
+
+
+def sessions(obs: DataFrame, gap_us: int) -> DataFrame:
+    """obs with session: a number that grows along the track at each gap longer than gap_us."""
+    late = F.col("t_us") - F.lag("t_us").over(along()) > gap_us
+    return obs.withColumn("_late", F.coalesce(late, F.lit(False)).cast("int")).withColumn("session", F.sum("_late").over(along())).drop("_late")
+
+
+def session_headings(obs: DataFrame, gap_us: int, half: int, least_speed: float, least_way: float) -> DataFrame:
+    """obs with session and heading: of the least-squares velocity of +-half rows of the session, null where that is slow or short."""
+    s = sessions(obs, gap_us)
+    order = W.partitionBy("track_id", "session").orderBy("t_us", "event_id")
+    near = order.rowsBetween(-half, half)
+    s = s.withColumn("_t", (F.col("t_us") - F.min("t_us").over(W.partitionBy("track_id", "session"))) / 1e6)
+    slope = lambda k: F.regr_slope(F.col(k), F.col("_t")).over(near)
+    s = s.withColumn("_vx", slope("x")).withColumn("_vy", slope("y"))
+    way = F.hypot(F.last("x").over(near) - F.first("x").over(near), F.last("y").over(near) - F.first("y").over(near))
+    s = s.withColumn("_way", way)
+    return s.withColumn("heading", F.when((F.hypot("_vx", "_vy") >= least_speed) & (F.col("_way") >= least_way), F.atan2("_vy", "_vx"))).drop("_t", "_vx", "_vy", "_way")
+
+
+def neighbour_headings(obs: DataFrame, half: int) -> DataFrame:
+    """obs with heading: the mean direction of the steps among +-half neighbours that leave the row itself out; null without any."""
+    s = obs.withColumn("_px", F.lag("x").over(along())).withColumn("_py", F.lag("y").over(along()))
+    s = s.withColumn("_u", F.atan2(F.col("y") - F.col("_py"), F.col("x") - F.col("_px")))
+    # the steps that end before the row, and those that begin after it
+    behind, ahead = along().rowsBetween(1 - half, -1), along().rowsBetween(2, half)
+    part = lambda f: F.coalesce(F.sum(f("_u")).over(behind), F.lit(0.0)) + F.coalesce(F.sum(f("_u")).over(ahead), F.lit(0.0))
+    s = s.withColumn("_c", part(F.cos)).withColumn("_s", part(F.sin))
+    return s.withColumn("heading", F.when(F.hypot("_c", "_s") > 1e-6, F.atan2("_s", "_c"))).drop("_px", "_py", "_u", "_c", "_s")
+
+
+def smoothed_places(obs: DataFrame, gap_us: int, half: int, blend: float, most: float) -> DataFrame:
+    """obs with sx, sy: places drawn by `blend` to the weighted line of +-half rows of their session, `most` at most.
+
+    Weights fall with the rows' distance in time; the line is the solution of
+    the normal equations, which are sums over the rows.
+    """
+    s = sessions(obs, gap_us)
+    order = W.partitionBy("track_id", "session").orderBy("t_us", "event_id").rowsBetween(-half, half)
+    s = s.withColumn("_near", F.collect_list(F.struct("t_us", "x", "y")).over(order))
+    width = gap_us / 1e6
+
+    def drawn(c: str) -> Column:
+        dt = lambda v: (v["t_us"] - F.col("t_us")) / 1e6
+        w = lambda v: F.exp(-0.5 * F.pow(dt(v) / width, 2))
+        total = lambda f: F.aggregate("_near", F.lit(0.0), lambda a, v: a + w(v) * f(v))
+        n, t, tt, y, ty = total(lambda v: F.lit(1.0)), total(dt), total(lambda v: dt(v) * dt(v)), total(lambda v: v[c]), total(lambda v: dt(v) * v[c])
+        det = n * tt - t * t
+        fit = F.when(det > 1e-9, (y * tt - t * ty) / det).otherwise(y / n)
+        return F.col(c) + F.greatest(F.lit(-most), F.least(F.lit(most), (fit - F.col(c)) * blend))
+
+    return s.withColumn("sx", drawn("x")).withColumn("sy", drawn("y")).drop("_near")
+
+
+def repaired_levels(obs: DataFrame, value: str, least: int, jump: float) -> DataFrame:
+    """obs with level: where a track's values lie in two sets apart, the upper ones are drawn on the line between the lower ones about them.
+
+    The sets are those on either side of the largest gap between values, with
+    `least` rows each, no fewer below than above, and a gap of `jump` or more.
+    """
+    by = W.partitionBy("track_id")
+    v = obs.withColumn("_gap", F.col(value) - F.lag(value).over(by.orderBy(value, "event_id")))
+    v = v.withColumn("_cut", F.max(F.when(F.col("_gap") >= jump, F.struct("_gap", F.col(value).alias("at")))).over(by)["at"])
+    low = F.col(value) < F.col("_cut")
+    v = v.withColumn("_low", F.count_if(low).over(by)).withColumn("_high", F.count_if(~low).over(by))
+    fixes = (F.col("_low") >= least) & (F.col("_high") >= least) & (F.col("_low") >= F.col("_high"))
+    anchor = F.when(low, F.struct("t_us", F.col(value).alias("v")))
+    v = v.withColumn("_a", F.last(anchor, True).over(along().rowsBetween(W.unboundedPreceding, 0))).withColumn("_b", F.first(anchor, True).over(along().rowsBetween(0, W.unboundedFollowing)))
+    between = F.when(F.col("_a").isNull(), F.col("_b.v")).when(F.col("_b").isNull() | (F.col("_b.t_us") == F.col("_a.t_us")), F.col("_a.v")).otherwise(F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * (F.col("t_us") - F.col("_a.t_us")) / (F.col("_b.t_us") - F.col("_a.t_us")))
+    return v.withColumn("level", F.when(F.coalesce(fixes & ~low, F.lit(False)), between).otherwise(F.col(value))).drop("_gap", "_cut", "_low", "_high", "_a", "_b")

@@ -234,7 +234,7 @@ def direction_stop_line(spark, sf):
 
 @query("signal_bins", f"WITH {OBSERVATIONS} SELECT class_name, floor(t_us / {6 * HOUR}.0)::BIGINT AS bin, count(DISTINCT track_id) AS active, count(*) AS samples, count(*) FILTER (x >= 50) AS high FROM obs GROUP BY 1, 2")
 def signal_bins(spark, sf):
-    return aggregates.binned_evidence(observations(spark, sf), 6 * HOUR)
+    return aggregates.binned_evidence(observations(spark, sf), 6 * HOUR, F.col("x") >= 50)
 
 
 @query("stage_summary", f"WITH {BOXES} SELECT coalesce(class_name, 'all') AS \"group\", count(*) AS n_rows, count(DISTINCT track_id) AS tracks, count(DISTINCT frame_id) AS frames FROM box GROUP BY GROUPING SETS ((class_name), ())")
@@ -284,7 +284,7 @@ def window_isolated_last(spark, sf):
 
 @query("window_smoothed_bins", f"WITH {OBSERVATIONS}, c AS (SELECT class_name, floor(t_us / {6 * HOUR}.0)::BIGINT AS bin, count(*) AS samples FROM obs GROUP BY 1, 2) SELECT class_name, bin, round(sum(samples) OVER (PARTITION BY class_name ORDER BY bin ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) / 4, 4) + 0.0 AS smooth FROM c")
 def window_smoothed_bins(spark, sf):
-    return rounded(windows.smoothed(aggregates.binned_evidence(observations(spark, sf), 6 * HOUR), "class_name", "samples", 4).select("class_name", "bin", "smooth"))
+    return rounded(windows.smoothed(aggregates.binned_evidence(observations(spark, sf), 6 * HOUR, F.col("x") >= 50), "class_name", "samples", 4).select("class_name", "bin", "smooth"))
 
 
 @query("window_filled_states", f"""WITH {OBSERVATIONS}, s AS (SELECT *, CASE WHEN class_name = 'click' THEN 'go' WHEN class_name = 'view' THEN 'stop' END AS state FROM obs),
