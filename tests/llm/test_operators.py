@@ -311,6 +311,29 @@ def test_passages_match_brute_force(spark):
     assert places.keys() <= {(2 * k + 1, 2 * k) for k in range(200)}
 
 
+def test_passages_of_large_groups_match_brute_force(spark):
+    """Each run of the least length that an earlier document has similar is covered by four fifths or more, also in lists too long for all pairs."""
+    r, rows = random.Random(44), []
+    for group in range(2):
+        base = language(70000 + group, 90, 5000).split()
+        for k in range(20):
+            own = [language(71000 + 100 * group + 2 * k + side, 12, 5000) for side in range(2)]
+            rows.append((20 * group + k, " ".join([own[0], *edited(r, base, k % 4), own[1]])))
+    places = {}
+    for x in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        places.setdefault(x.doc_id, set()).update(range(x.start, x.start + x.n_words - 4))
+    tokens, runs, caught = {doc: tokens_of(text.split()) for doc, text in rows}, 0, 0
+    for doc, own in tokens.items():
+        sets = [[set(tokens[d][j : j + 46]) for j in range(len(tokens[d]) - 45)] for d in range(doc - doc % 20, doc)]
+        for i in range(len(own) - 45):
+            x = set(own[i : i + 46])
+            if any(len(x & y) * 100 >= len(x | y) * 80 for each in sets for y in each):
+                runs += 1
+                caught += 46 - len(set(range(i, i + 46)) & places.get(doc, set())) <= 9
+    print(f"recall {caught} of {runs} runs")
+    assert runs > 500 and caught >= 0.97 * runs
+
+
 def test_passages_of_odd_tables(docs, none):
     assert substring_dedup.passages(none).count() == 0
     assert substring_dedup.passages(docs).count() > 0
