@@ -124,3 +124,9 @@ def class_view(d: DataFrame, keep: tuple[str, ...], folded: dict[str, str]) -> D
         name = F.when(F.col("class_name") == old, F.lit(new)).otherwise(name)
     rows = d.withColumn("class_name", name).where(F.col("class_name").isin(*keep))
     return d.select("frame_id").distinct().join(rows, "frame_id", "left")
+
+
+def low_confidence_dropped(d: DataFrame, classes: tuple[str, ...], unmoved: DataFrame, class_name: str) -> DataFrame:
+    """d without the classes, and without the unmoved tracks' rows of a class."""
+    gone = unmoved.select("track_id", F.lit(class_name).alias("class_name"))
+    return d.where(~F.col("class_name").isin(*classes)).join(gone, ["track_id", "class_name"], "left_anti").select(*d.columns)

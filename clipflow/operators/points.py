@@ -25,14 +25,15 @@ def inside(margin: float = 0.0) -> Column:
     return (F.abs(along) <= F.col("dx") / 2 + margin) & (F.abs(across) <= F.col("dy") / 2 + margin) & (F.abs(F.col("pz") - F.col("z")) <= F.col("dz") / 2 + margin)
 
 
-def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id", "det_idx")) -> DataFrame:
+def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id", "det_idx"), margin: float = 0.0) -> DataFrame:
     """d with n_points, low and high: the number of points in each box, and the least and greatest of their heights.
 
-    keys name a box; the first of them is the points' frame.
+    keys name a box; the first of them is the points' frame.  Boxes are taken
+    larger by the margin on all sides.
     """
     frame = keys[0]
     own = d.select(*keys, "x", "y", "z", "dx", "dy", "dz", "yaw")
-    met = own.join(points.select(frame, "px", "py", "pz"), frame).where(inside())
+    met = own.join(points.select(frame, "px", "py", "pz"), frame).where(inside(margin))
     stats = met.groupBy(*keys).agg(F.count("*").alias("n_points"), F.min("pz").alias("low"), F.max("pz").alias("high"))
     return d.join(stats, list(keys), "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)))
 
