@@ -285,7 +285,8 @@ def _cut(docs: DataFrame, keep: tuple[str, ...], digest: bool) -> DataFrame:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.string() if digest else pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], [*keep, "n_bytes", "n_removed", "n_spans", last])
 
-    texts = keyed(docs, *keep).join(small(ranges, ranges.count()), ["doc", "row"], "left").select(*keep, "text", "ranges")
+    numbers = ranges.agg(F.coalesce(F.sum(F.size("ranges") + 3), F.lit(0))).first()[0]
+    texts = keyed(docs, *keep).join(small(ranges, numbers, 16), ["doc", "row"], "left").select(*keep, "text", "ranges")
     fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
     return texts.mapInArrow(cut, f"{fields}, n_bytes long, n_removed long, n_spans long, {last} {'string' if digest else 'binary'}")
 
