@@ -73,3 +73,18 @@ def test_mixture_emits_floor_or_ceiling_of_the_rate(results):
 
 def test_run_gives_the_last_stage(spark, results):
     assert Counter(rows(corpus_pipeline.run(spark, SF))) == Counter(rows(results[-1][1]))
+
+
+def test_stages_take_odd_tables(spark):
+    """Null ids and texts, repeated ids, empty and long texts, extra columns with the names of inner ones, and no rows at all."""
+    names = "doc_id long, text string, lang string, source string, n_chars long, row string, spans string, hash string, odd_id string, score string, root string, value string, y string"
+    passage = " ".join(f"p{i}" for i in range(80))
+    texts = [None, "", "one two", passage + " tail", "head " + passage, "x " * 30_000, passage.upper() + " other end"]
+    table = [(k % 5 if k else None, t, None if k % 2 else "en", None if k % 3 else "a", 1, *["own"] * 8) for k, t in enumerate(texts * 2)]
+    docs = spark.createDataFrame(table, names)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        kept = out.collect()
+        assert all(r.row == r.spans == r.value == "own" for r in kept) and len(kept) <= 3 * len(table), name
+        assert stage(spark, docs.where("false"), SF).count() == 0, name
