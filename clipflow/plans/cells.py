@@ -88,7 +88,7 @@ def sort_ids_around_used(spark, sf):
     return sorting.dense_ids(d, "frame_id", 5, d.where("track_id % 2 = 0").select((F.col("track_id") * 3).alias("new_id")))
 
 
-@query("merge_chains", f"""WITH {TRACKED}, l AS (SELECT frame_id, CASE class_name WHEN 'Car' THEN 0 WHEN 'Truck' THEN 1 ELSE 2 END AS chain, event_id AS place, det_idx AS obj_id FROM trk), a AS (SELECT *, row_number() OVER (PARTITION BY frame_id, obj_id ORDER BY chain, place) > 1 AS again FROM l)
+@query("merge_chains", f"""WITH {TRACKED}, l AS (SELECT frame_id, CASE class_name WHEN 'Car' THEN 0 WHEN 'Truck' THEN 1 ELSE 2 END AS chain, event_id AS place, det_idx::BIGINT AS obj_id FROM trk), a AS (SELECT *, row_number() OVER (PARTITION BY frame_id, obj_id ORDER BY chain, place) > 1 AS again FROM l)
 SELECT frame_id, chain, place, obj_id, CASE WHEN again THEN row_number() OVER (PARTITION BY frame_id, again ORDER BY chain, place, obj_id) + 899999 ELSE obj_id END AS new_id FROM a""")
 def merge_chains(spark, sf):
     chain = F.when(F.col("class_name") == "Car", 0).when(F.col("class_name") == "Truck", 1).otherwise(2).alias("chain")
