@@ -8,6 +8,7 @@ from llm.mixing import OP8_SQL, op8_mix
 from llm.quality_classifier import op3_quality_classifier
 from llm.repeated_bytes import OP4_SQL, op4_repeated_bytes
 from llm.quality_rules import OP10_SQL, op10_quality_rules
+from llm.simhash import op11_simhash_pivots
 from llm.substring_dedup import op2_substring_dedup
 from llm.toxicity import op5_toxicity
 from llm.url_filter import OP1_SQL, op1_url_filter
@@ -26,6 +27,7 @@ def queries() -> dict:
         "op8_mix": op8_mix,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "op11_simhash_pivots": op11_simhash_pivots,
     }
 
 
