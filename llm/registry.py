@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from llm.conversation_repair import OP13_SQL, op13_conversation_repair
 from llm.decontaminate import OP7_SQL, op7_decontaminate
 from llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from llm.minhash import OP9_SQL, op9_near_dedup
@@ -30,8 +31,9 @@ def queries() -> dict:
         "op10_quality_rules": op10_quality_rules,
         "op11_simhash_pivots": op11_simhash_pivots,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op4_repeated_bytes": OP4_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op9_near_dedup": OP9_SQL, "op10_quality_rules": OP10_SQL, "op12_hard_negatives": OP12_SQL}
+    return {"op1_url_filter": OP1_SQL, "op4_repeated_bytes": OP4_SQL, "op6_warc": OP6_SQL, "op7_decontaminate": OP7_SQL, "op8_mix": OP8_SQL, "op9_near_dedup": OP9_SQL, "op10_quality_rules": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_conversation_repair": OP13_SQL}
