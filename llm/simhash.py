@@ -11,13 +11,13 @@
    fingerprints.  Two fingerprints within MOST bits differ by at most MOST in
    each distance, so pairs of a list with a larger coordinate difference are
    discarded, and the others verified.
-4. Lists of more than `SHORT` members don't give all their pairs: in each of
-   `ROUNDS` rounds some members serve as pivots of the list, and their
-   distances link whatever is within MOST bits of one.  Lists whose members are
-   then in several components are finished exactly: each member outside the
-   list's largest component asks, through the pivot tables again, whether
-   anything in that component is near (a semi join, salted by members), and
-   what is near nothing there is paired with the other components.
+4. Lists of more than `SHORT` members don't give all their pairs: some members
+   serve as pivots of the list, and their distances link whatever is within MOST
+   bits of one; up to `ROUNDS` rounds of them, until at most `PAIRS` pairs of
+   members are left outside the lists' largest components.  Then what is left is
+   finished exactly: each such member asks, through the pivot tables again,
+   whether anything in the largest component is near (a semi join, salted by
+   members), and what is near nothing there is paired with the other components.
 5. Verified links make components.
 
 Defined results: null and empty texts and texts without words have fingerprint
@@ -53,6 +53,8 @@ PIVOTS = tuple(int(x) for x in np.random.default_rng(1311).integers(-(1 << 63),
 SHORT, ROUNDS = 64, 3
 #: Members that one task of the exact comparison holds against the others, about.
 SALT_ROWS = 2048
+#: Pairs of members outside their lists' largest components that are compared at once, before the last round.
+PAIRS = 1e8
 
 
 def spaced(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,12 +152,11 @@ def starred(rows: DataFrame, choices: DataFrame, seed: int, most: int) -> DataFr
     return each.where((F.col("fp") != F.col("pivot")) & (apart(F.col("fp"), F.col("pivot")) <= most)).select(*_pair("fp", "pivot")).distinct()
 
 
-def placed(many: DataFrame, links: DataFrame) -> DataFrame:
-    """(c, k, fp, root, main, n): the members of lists in more than one component, and each list's component with most members."""
-    roots = components(links, "simhash-roots")
+def placed(many: DataFrame, roots: DataFrame) -> DataFrame:
+    """(c, k, fp, root, main, n, outside): the members of lists in more than one component, each list's component with most members, and how many are outside it."""
     rows = many.select("c", "k", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     each = rows.groupBy("c", "k", "root").agg(F.count("*").alias("own"))
-    lists = each.groupBy("c", "k").agg(F.max_by("root", F.struct("own", "root")).alias("main"), F.count("*").alias("roots"), F.sum("own").alias("n")).where("roots > 1").drop("roots")
+    lists = each.groupBy("c", "k").agg(F.max_by("root", F.struct("own", "root")).alias("main"), F.count("*").alias("roots"), F.sum("own").alias("n"), (F.sum("own") - F.max("own")).alias("outside")).where("roots > 1").drop("roots")
     return stored(rows.join(lists, ["c", "k"]), "simhash-open")
 
 
@@ -174,35 +175,39 @@ def finished(open_rows: DataFrame, most: int) -> DataFrame:
     return joined.select(*_pair("fp", "main")).union(pairs).distinct()
 
 
-def links(nodes: DataFrame, most: int = MOST) -> DataFrame:
-    """(a, b): links that connect whatever fingerprints of nodes (fp), all different, are within `most` bits."""
+def roots_of(nodes: DataFrame, most: int = MOST) -> DataFrame:
+    """(node, root) of fingerprints of nodes (fp), all different, that hang together within `most` bits; lone ones may be missing."""
     choices = masks(pieces_for(nodes.count(), most), most)
     rows = nodes.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in choices))).alias("c", "k"))
     lists = rows.groupBy("c", "k").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(rows.join(lists, ["c", "k"]), "simhash-members")
     few, many = with_distances(members.where(F.col("n") <= SHORT)), members.where(F.col("n") > SHORT)
     x, y = few.alias("x"), few.alias("y")
-    near = x.join(y, (F.col("x.c") == F.col("y.c")) & (F.col("x.k") == F.col("y.k")) & (F.col("x.fp") < F.col("y.fp")) & survives(most)).select(*_pair("x.fp", "y.fp")).distinct()
-    if many.isEmpty():
-        return stored(near, "simhash-links")
-    found = stored(near.union(starred(many, many, 0, most)), "simhash-links")
+    near = x.join(y, (F.col("x.c") == F.col("y.c")) & (F.col("x.k") == F.col("y.k")) & (F.col("x.fp") < F.col("y.fp")) & survives(most)).select(*_pair("x.fp", "y.fp"))
+    roots = components(near.union(starred(many, many, 0, most)), "simhash-roots")
     for turn in range(ROUNDS):
-        open_rows = placed(many, found)
-        if open_rows.isEmpty():
-            return found
-        if turn < ROUNDS - 1:
-            more = starred(open_rows, open_rows.where("root <> main"), 2 * turn + 2, most)
-        else:
-            more = finished(open_rows, most)
-        found = found.union(stored(more, "simhash-links"))
-    return found
+        open_rows = placed(many, roots)
+        figures = open_rows.groupBy("c", "k").agg(F.max("outside").alias("outside")).agg(F.count("*").alias("lists"), F.sum(F.pow("outside", F.lit(2))).alias("pairs")).first()
+        if not figures.lists:
+            break
+        exact = turn == ROUNDS - 1 or figures.pairs <= PAIRS
+        new = finished(open_rows, most) if exact else starred(open_rows, open_rows.where("root <> main"), 2 * turn + 2, most)
+        # components that the new links join
+        at = roots.withColumnsRenamed({"node": "a", "root": "x"}), roots.withColumnsRenamed({"node": "b", "root": "y"})
+        joined = new.join(at[0], "a", "left").join(at[1], "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).where("a <> b")
+        above = components(joined, "simhash-roots").toDF("root", "above")
+        known = roots.select("node").union(new.select("a")).union(new.select("b")).distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        roots = stored(known.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root")), "simhash-roots")
+        if exact:
+            break
+    return roots
 
 
 def grouped(docs: DataFrame, most: int = MOST, width: int = WIDTH) -> DataFrame:
     """doc_id, fp and component_id of each document."""
     d = stored(fingerprints(docs, width), "simhash-fingerprints")
     classes = stored(d.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    roots = components(links(classes.select("fp"), most), "simhash-components").withColumnRenamed("node", "fp")
+    roots = roots_of(classes.select("fp"), most).withColumnRenamed("node", "fp")
     own = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = own.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(own.select("fp", "root").join(ids, "root").select("fp", "component_id"), "simhash-named")

@@ -63,18 +63,17 @@ def test_fingerprints_and_components(spark):
 
 
 def pairs_linked(spark, prints, most=4):
-    from llm.components import components as joined
-
     nodes = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in prints], "fp long")
-    roots = {r.node % (1 << 64): r.root for r in joined(simhash.links(nodes, most)).collect()}
+    roots = {r.node % (1 << 64): r.root for r in simhash.roots_of(nodes, most).collect()}
     return [roots.get(x, x) for x in prints]
 
 
-@pytest.mark.parametrize("short", [2, 64])
-def test_lists_of_every_length_link_alike(spark, monkeypatch, short):
+@pytest.mark.parametrize(("short", "pairs"), [(2, 0), (2, 1e8), (64, 1e8)])
+def test_lists_of_every_length_link_alike(spark, monkeypatch, short, pairs):
     """Clusters around few centres: tight, wide and far ones, so that pivots alone don't link all."""
     monkeypatch.setattr(simhash, "SHORT", short)
     monkeypatch.setattr(simhash, "SALT_ROWS", 40)
+    monkeypatch.setattr(simhash, "PAIRS", pairs)
     r = random.Random(5)
     prints = set()
     for size, far in ((200, 2), (200, 4), (60, 6), (60, 9)):
