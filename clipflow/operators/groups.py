@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_own_dir: list[str] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """df written to the cluster's checkpoint folder and read back; a folder of this machine stands in only where all tasks run on it."""
+    """df written once to the cluster's checkpoint folder and read back; a folder of this machine stands in only where all tasks run on it.
+
+    Unlike a checkpoint the table is computed a single time, and the planner
+    carries nothing of how it was made into the next round of an iteration.
+    """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
-        if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+    root, master = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not root:
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="clipflow-"))
-    return df.checkpoint()
+        if not _own_dir:
+            _own_dir.append("file://" + tempfile.mkdtemp(prefix="clipflow-"))
+        root = _own_dir[0]
+    path = f"{root.rstrip('/')}/clipflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def linked_groups(links: DataFrame) -> DataFrame:

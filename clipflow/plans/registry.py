@@ -1,6 +1,6 @@
 """All registered queries of the engine and their SQL."""
 
-from clipflow.plans import cells, matching, motion, overlap, shapes, signals, world  # noqa: F401  each module adds its queries
+from clipflow.plans import cells, matching, motion, overlap, rings, shapes, signals, world  # noqa: F401  each module adds its queries
 from clipflow.plans.catalog import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
