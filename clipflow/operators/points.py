@@ -1,8 +1,8 @@
 """Points in boxes, and the filters and fits that look at them.
 
-Points and boxes meet in a join by frame with the test of the oriented box as
-its condition, and are aggregated before anything else; clouds are never
-gathered in a row.
+Points and boxes meet in a join by frame and cell of a few metres with the test
+of the oriented box as its condition, and are aggregated before anything else;
+clouds are never gathered in a row.
 """
 
 from __future__ import annotations
@@ -25,15 +25,33 @@ def inside(margin: float = 0.0) -> Column:
     return (F.abs(along) <= F.col("dx") / 2 + margin) & (F.abs(across) <= F.col("dy") / 2 + margin) & (F.abs(F.col("pz") - F.col("z")) <= F.col("dz") / 2 + margin)
 
 
-def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id", "det_idx"), margin: float = 0.0) -> DataFrame:
+#: Side of the cells in which points and boxes meet.
+CELL = 4.0
+
+
+def near_points(own: DataFrame, points: DataFrame, frame: list[str], reach: Column, cell: float = CELL) -> DataFrame:
+    """Rows of own (frame..., x, y) each with the points (frame..., px, py, ...) of its frame in the cells within `reach` of it, along both axes.
+
+    A point is in one cell, a box in each cell that it reaches, so a large frame
+    is many keys, and a point meets only boxes that are near.
+    """
+    at = lambda c: F.floor(c / cell)
+    across = lambda c: F.explode(F.sequence(at(F.col(c) - reach), at(F.col(c) + reach)))
+    boxes = own.withColumn("_px", across("x")).withColumn("_py", across("y"))
+    placed = points.withColumns({"_px": at(F.col("px")), "_py": at(F.col("py"))})
+    return boxes.join(placed, [*frame, "_px", "_py"]).drop("_px", "_py")
+
+
+def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id", "det_idx"), margin: float = 0.0, shared: int = 1) -> DataFrame:
     """d with n_points, low and high: the number of points in each box, and the least and greatest of their heights.
 
-    keys name a box; the first of them is the points' frame.  Boxes are taken
-    larger by the margin on all sides.
+    keys name a box; the first `shared` of them (its frame, and its clip if
+    there is one) are the points' too.  Boxes are taken larger by the margin on
+    all sides.
     """
-    frame = keys[0]
+    frame = list(keys[:shared])
     own = d.select(*keys, "x", "y", "z", "dx", "dy", "dz", "yaw")
-    met = own.join(points.select(frame, "px", "py", "pz"), frame).where(inside(margin))
+    met = near_points(own, points.select(*frame, "px", "py", "pz"), frame, F.hypot("dx", "dy") / 2 + abs(margin) * 2).where(inside(margin))
     stats = met.groupBy(*keys).agg(F.count("*").alias("n_points"), F.min("pz").alias("low"), F.max("pz").alias("high"))
     return d.join(stats, list(keys), "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)))
 
