@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,3 +50,20 @@ def moved_yaw(m: list[list[Column]], yaw: Column) -> Column:
     """The heading of the rotated heading vector."""
     c, s = F.cos(yaw), F.sin(yaw)
     return F.atan2(m[1][0] * c + m[1][1] * s, m[0][0] * c + m[0][1] * s)
+
+
+def times_turned(p: Quaternion, q: Quaternion) -> Quaternion:
+    """The rotation q followed by p."""
+    (a, b, c, d), (x, y, z, w) = p, q
+    return (d * x + a * w + b * z - c * y, d * y - a * z + b * w + c * x, d * z + a * y - b * x + c * w, d * w - a * x - b * y - c * z)
+
+
+def quaternion(rows: tuple[tuple[float, ...], ...]) -> tuple[float, float, float, float]:
+    """The quaternion of a rotation matrix of numbers (further columns are left out)."""
+    m = [row[:3] for row in rows]
+    # squares of four times each part; the largest is safe to divide by
+    squares = [1 + m[0][0] - m[1][1] - m[2][2], 1 - m[0][0] + m[1][1] - m[2][2], 1 - m[0][0] - m[1][1] + m[2][2], 1 + m[0][0] + m[1][1] + m[2][2]]
+    k = max(range(4), key=squares.__getitem__)
+    sums = {(0, 1): m[0][1] + m[1][0], (0, 2): m[0][2] + m[2][0], (1, 2): m[1][2] + m[2][1], (0, 3): m[2][1] - m[1][2], (1, 3): m[0][2] - m[2][0], (2, 3): m[1][0] - m[0][1]}
+    root = 2 * math.sqrt(squares[k])
+    return tuple(root / 4 if i == k else sums[min(i, k), max(i, k)] / root for i in range(4))

@@ -47,3 +47,27 @@ def linked_groups(links: DataFrame) -> DataFrame:
         roots = moved.select("node", "root")
         if moved.where("_moved").isEmpty():
             return roots
+
+
+def leaders(nodes: DataFrame, covers: DataFrame) -> DataFrame:
+    """(id, leader): nodes (id, place), taken in the order of their places, where each that no leader before it covers leads, and others follow the first leader that covers them.
+
+    covers (a, b): a covers b; pairs of which a doesn't come before b count for
+    nothing.  A round makes leaders of the nodes that nothing undecided covers
+    from before, and takes out whom they cover: the same leaders as one by one.
+    """
+    at = lambda k: nodes.select(F.col("id").alias(k), F.col("place").alias(f"_{k}"))
+    before = durable(covers.join(at("a"), "a").join(at("b"), "b").where("_a < _b").select("a", "b", "_a").distinct())
+    left, edges, found = durable(nodes.select("id")), before.select("a", "b"), []
+    while not left.isEmpty():
+        first = durable(left.join(edges.select(F.col("b").alias("id")), "id", "left_anti"))
+        found.append(first)
+        out = edges.join(first.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).union(first).distinct()
+        left = durable(left.join(out, "id", "left_anti"))
+        edges = durable(edges.join(left.withColumnRenamed("id", "a"), "a", "left_semi").join(left.withColumnRenamed("id", "b"), "b", "left_semi"))
+    lead = nodes.select("id").where("false")
+    for part in found:
+        lead = lead.union(part)
+    covered = before.join(lead.withColumnRenamed("id", "a"), "a", "left_semi").join(lead.withColumnRenamed("id", "b"), "b", "left_anti")
+    follow = covered.groupBy(F.col("b").alias("id")).agg(F.min_by("a", "_a").alias("leader"))
+    return lead.select("id", F.col("id").alias("leader")).union(follow)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clipflow.functions.angles import axis_turn
+from clipflow.operators.groups import leaders
 from clipflow.operators.windows import neighbour_headings
 
 
@@ -99,3 +100,22 @@ def seeds(d: DataFrame, radius: float, frames: int, span_us: int, apart: float =
     near = (F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")) <= radius) & (axis_turn(F.col("a.yaw"), F.col("b.yaw")) <= apart)
     n = a.join(b, same & near).groupBy(F.col("a.event_id").alias("event_id")).agg(F.count_distinct("b.frame_id").alias("n_frames"), (F.max("b.t_us") - F.min("b.t_us")).alias("span_us"))
     return n.where((F.col("n_frames") >= frames) & (F.col("span_us") >= span_us))
+
+
+def suppressed(candidates: DataFrame, members: DataFrame, radius: float, share: float) -> DataFrame:
+    """(id, leader): candidates (id, place, x, y), from the first place on, where each that no kept one is near or shares much with is kept, and leads itself.
+
+    Near is within the radius; much is the share of the smaller one's members
+    (id, member).  Candidates meet in cells of the radius, or by a member.
+    """
+    cell = lambda c: F.floor(F.col(c) / radius)
+    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    own = candidates.select("id", "x", "y", cell("x").alias("_cx"), cell("y").alias("_cy"))
+    around = own.withColumn("_s", F.explode(steps)).withColumns({"_cx": F.col("_cx") + F.col("_s.i"), "_cy": F.col("_cy") + F.col("_s.j")})
+    a, b = around.alias("a"), own.alias("b")
+    near = a.join(b, (F.col("a._cx") == F.col("b._cx")) & (F.col("a._cy") == F.col("b._cy")) & (F.col("a.id") != F.col("b.id")) & (F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y")) <= radius)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    m = members.select("id", "member").distinct()
+    sizes = m.groupBy("id").agg(F.count("*").alias("n"))
+    met = m.withColumnRenamed("id", "a").join(m.withColumnRenamed("id", "b"), "member").where("a < b").groupBy("a", "b").agg(F.count("*").alias("_k"))
+    met = met.join(sizes.toDF("a", "_n"), "a").join(sizes.toDF("b", "_m"), "b").where(F.col("_k") >= share * F.least("_n", "_m"))
+    return leaders(candidates.select("id", "place"), near.union(met.select("a", "b")).union(met.select("b", "a")))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clipflow.operators.aggregates import along
+from clipflow.operators.groups import leaders
+from clipflow.operators.stitching import once_each
 
 
 def projected(obs: DataFrame, heading: float, width_us: int) -> DataFrame:
@@ -105,19 +109,59 @@ def turn_features(obs: DataFrame, least_step: float) -> DataFrame:
 
 
 def axis_pairs(directions: DataFrame, tolerance: float) -> DataFrame:
-    """(a, b, apart): directions (id, heading) and their opposites within the tolerance, each the best of both; of as good ones the lesser ids."""
+    """(a, b, apart): directions (id, heading) and their opposites within the tolerance, each in one pair: from the best pair on, of as good ones the lesser ids."""
     from clipflow.functions.angles import turn, wrap
 
     # a direction meets those whose heading, turned about, lies in its own or a neighbouring sector
-    width = max(tolerance, 0.05)
-    sectors = int(2 * 3.141592653589793 / width)
-    sector = lambda h: F.floor(F.pmod(h, F.lit(2 * 3.141592653589793)) / width)
-    p = directions.select(F.col("id").alias("a"), F.col("heading").alias("_ha"), F.explode(F.array(*(F.pmod(sector(F.col("heading")) + k, F.lit(sectors + 1)) for k in (-1, 0, 1, 2, -2)))).alias("_s")).distinct()
-    q = directions.select(F.col("id").alias("b"), F.col("heading").alias("_hb"), sector(wrap(F.col("heading") + 3.141592653589793)).alias("_s"))
-    pairs = p.join(q, "_s").where("a < b").withColumn("apart", F.round(turn(F.col("_ha"), F.col("_hb") + 3.141592653589793), 6)).where(F.col("apart") <= tolerance).select("a", "b", "apart").distinct()
-    each = pairs.select("a", "b", "apart").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-    best = each.groupBy("a").agg(F.min_by("b", F.struct("apart", F.col("b"))).alias("_best"))
-    return pairs.join(best, "a").where("_best = b").drop("_best").join(best.withColumnRenamed("a", "b"), "b").where("_best = a").select("a", "b", "apart")
+    sectors = max(1, int(2 * math.pi / max(tolerance, 0.05)))
+    width = 2 * math.pi / sectors
+    sector = lambda h: F.pmod(F.floor(F.pmod(h, F.lit(2 * math.pi)) / width), F.lit(sectors))
+    around = F.array_distinct(F.array(*(F.pmod(sector(F.col("heading")) + k, F.lit(sectors)) for k in (-1, 0, 1))))
+    p = directions.select(F.col("id").alias("a"), F.col("heading").alias("_ha"), F.explode(around).alias("_s"))
+    q = directions.select(F.col("id").alias("b"), F.col("heading").alias("_hb"), sector(wrap(F.col("heading") + math.pi)).alias("_s"))
+    pairs = p.join(q, "_s").where("a < b").withColumn("apart", F.round(turn(F.col("_ha"), F.col("_hb") + math.pi), 6)).where(F.col("apart") <= tolerance).select("a", "b", "apart").distinct()
+    return once_each(pairs.withColumnRenamed("apart", "score")).withColumnRenamed("score", "apart")
+
+
+def directions(tracks: DataFrame, by: tuple[str, ...], tolerance: float, gate: float) -> DataFrame:
+    """(id, leader): the direction of travel of each track (*by, id, place, heading, x, y), named by the track that leads it.
+
+    Tracks go by their place; one that no leader before it has within the
+    tolerance of its heading and the gate aside of its line leads.  Tracks meet
+    in sectors of heading of one `by`.
+    """
+    from clipflow.functions.angles import turn
+
+    sectors = max(1, int(2 * math.pi / tolerance))
+    sector = F.pmod(F.floor(F.pmod("heading", F.lit(2 * math.pi)) / (2 * math.pi / sectors)), F.lit(sectors))
+    a = tracks.withColumn("_s", F.explode(F.array_distinct(F.array(*(F.pmod(sector + k, F.lit(sectors)) for k in (-1, 0, 1)))))).alias("a")
+    b = tracks.withColumn("_s", sector).alias("b")
+    met = (F.col("a._s") == F.col("b._s")) & (F.col("a.place") < F.col("b.place"))
+    for k in by:
+        met = met & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    aside = (F.col("b.x") - F.col("a.x")) * F.sin("a.heading") - (F.col("b.y") - F.col("a.y")) * F.cos("a.heading")
+    near = (turn(F.col("a.heading"), F.col("b.heading")) <= tolerance) & (F.abs(aside) <= gate)
+    return leaders(tracks.select("id", "place"), a.join(b, met & near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+
+
+def lanes(tracks: DataFrame, least: int, width: float) -> DataFrame:
+    """(direction, movement, heading, centre, width, n): a lane for each movement of a direction of `least` tracks or more.
+
+    tracks (direction, id, movement, heading, x, y); centres are medians aside
+    of the direction's median place, to the right, left lanes at least a width
+    left of the straight one (or of the median of centres) and right ones right
+    of it; a lane is as wide as its tracks spread, and half a width.
+    """
+    d = tracks.groupBy("direction").agg(F.atan2(F.sum(F.sin("heading")), F.sum(F.cos("heading"))).alias("_h"), F.median("x").alias("_x"), F.median("y").alias("_y"), F.count("*").alias("_n")).where(F.col("_n") >= least)
+    named = F.when(F.col("movement").isin("left", "right"), F.col("movement")).otherwise("straight")
+    t = tracks.withColumn("movement", named).join(d, "direction").withColumn("_aside", (F.col("x") - F.col("_x")) * F.sin("_h") - (F.col("y") - F.col("_y")) * F.cos("_h"))
+    spread = F.percentile("_aside", F.lit(0.98)) - F.percentile("_aside", F.lit(0.02))
+    one = t.groupBy("direction", "movement").agg(F.first("_h").alias("heading"), F.median("_aside").alias("_c"), F.greatest(F.lit(width), spread + 0.5 * width).alias("width"), F.count("*").alias("n"))
+    all_of = W.partitionBy("direction")
+    middle = F.when(F.count("*").over(all_of) > 1, F.median("_c").over(all_of))
+    straight = F.coalesce(F.max(F.when(F.col("movement") == "straight", F.col("_c"))).over(all_of), middle)
+    centre = F.when(straight.isNull(), F.col("_c")).when(F.col("movement") == "left", F.least("_c", straight - width)).when(F.col("movement") == "right", F.greatest("_c", straight + width)).otherwise(F.col("_c"))
+    return one.withColumn("centre", centre).select("direction", "movement", "heading", "centre", "width", "n")
 
 
 def phases(scores: DataFrame, by: str, names: tuple[str, ...], switch: float) -> DataFrame:

@@ -37,11 +37,20 @@ def dense_ids(d: DataFrame, key: str, start: int, used: DataFrame | None = None)
 
 
 def chains_merged(labels: DataFrame, first_free: int) -> DataFrame:
-    """labels (frame_id, chain, place, obj_id) of all chains with new_id: an id that an earlier chain of the frame has already gets the frame's next from first_free on."""
+    """labels (frame_id, chain, place, obj_id) of all chains with new_id: an id that an earlier label of the frame has already gets the least from first_free on that no label of the frame has.
+
+    Labels go by chain and place; those without id keep none.
+    """
     order = W.partitionBy("frame_id", "obj_id").orderBy("chain", "place")
     again = labels.withColumn("_again", (F.row_number().over(order) > 1) & F.col("obj_id").isNotNull())
     late = W.partitionBy("frame_id", "_again").orderBy("chain", "place", "obj_id")
-    return again.withColumn("new_id", F.when(F.col("_again"), F.row_number().over(late) + (first_free - 1)).otherwise(F.col("obj_id"))).drop("_again")
+    again = again.withColumn("_k", F.when(F.col("_again"), F.row_number().over(late)))
+    # the k-th free id lies beyond each used one that has fewer than k free ones before it
+    used = labels.select("frame_id", "obj_id").where(F.col("obj_id") >= first_free).distinct()
+    used = used.withColumn("_free", F.col("obj_id") - first_free + 1 - F.row_number().over(W.partitionBy("frame_id").orderBy("obj_id"))).drop("obj_id")
+    passed = again.where("_again").select("frame_id", "_k").join(used, "frame_id").where("_free < _k").groupBy("frame_id", "_k").agg(F.count("*").alias("_passed"))
+    new = F.when(F.col("_again"), F.col("_k") + (first_free - 1) + F.coalesce("_passed", F.lit(0))).otherwise(F.col("obj_id"))
+    return again.join(passed, ["frame_id", "_k"], "left").withColumn("new_id", new).select(*labels.columns, "new_id")
 
 
 def top_of(d: DataFrame, by: str, count: str, name: str, k: int) -> DataFrame:

@@ -6,30 +6,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clipflow.functions.rotations import matrix, moved, moved_yaw, slerp
+from clipflow.functions.rotations import matrix, moved, moved_yaw, quaternion, slerp, times_turned
+from clipflow.operators.groups import durable
 
 _POSE = ("px", "py", "pz", "qx", "qy", "qz", "qw")
 
 
-def posed(stamps: DataFrame, poses: DataFrame, by: str, most_gap_us: int) -> DataFrame:
+def posed(stamps: DataFrame, poses: DataFrame, by: str, most_gap_us: int, sensor: tuple[tuple[float, ...], ...] | None = None) -> DataFrame:
     """stamps with the pose of their time: places blended, rotations along the shorter arc.
 
     Beyond the ends the nearest pose stands, and in a gap longer than the limit
-    the earlier one.
+    the nearer one (the earlier of equally near ones).  Each time of a `by` is
+    posed once.  `sensor` is a fixed rotation and place (3 rows of 4) of the
+    sensor in the posed frame; without it they are the same.
     """
-    marks = stamps.select("*", F.lit(1).alias("_side")).unionByName(poses.select(by, "t_us", *_POSE, F.lit(0).alias("_side")), allowMissingColumns=True)
+    times = stamps.select(by, "t_us").distinct()
+    marks = times.select("*", F.lit(1).alias("_side")).unionByName(poses.select(by, "t_us", *_POSE, F.lit(0).alias("_side")), allowMissingColumns=True)
     pose = F.when(F.col("_side") == 0, F.struct("t_us", *_POSE))
     order = W.partitionBy(by).orderBy("t_us", "_side")
     back = W.partitionBy(by).orderBy(F.desc("t_us"), F.desc("_side"))
     b = marks.withColumn("_a", F.last(pose, True).over(order)).withColumn("_b", F.last(pose, True).over(back)).where("_side = 1").where("_a IS NOT NULL OR _b IS NOT NULL")
     b = b.withColumn("_a", F.coalesce("_a", "_b")).withColumn("_b", F.coalesce("_b", "_a"))
     gap, into = F.col("_b.t_us") - F.col("_a.t_us"), F.col("t_us") - F.col("_a.t_us")
-    alpha = F.when((gap <= 0) | (gap > most_gap_us), 0.0).otherwise(into / gap)
-    b = b.withColumn("_alpha", alpha)
+    alpha = F.when(gap <= 0, 0.0).when(gap > most_gap_us, F.when(2 * into <= gap, 0.0).otherwise(1.0)).otherwise(into / gap)
+    b = b.select(by, "t_us", "_a", "_b", alpha.alias("_alpha"))
     blend = [(F.col(f"_a.{k}") * (1 - F.col("_alpha")) + F.col(f"_b.{k}") * F.col("_alpha")).alias(k) for k in _POSE[:3]]
-    unit = lambda s: _unit(tuple(F.col(f"{s}.{k}") for k in _POSE[3:]))
-    turned = slerp(unit("_a"), unit("_b"), F.col("_alpha"))
-    return b.select(*stamps.columns, *blend, *(q.alias(k) for q, k in zip(turned, _POSE[3:], strict=True)))
+    unit = lambda s: F.struct(*(q.alias(k) for q, k in zip(_unit(tuple(F.col(f"{s}.{k}") for k in _POSE[3:])), _POSE[3:], strict=True)))
+    b = durable(b.select(by, "t_us", "_alpha", *blend, unit("_a").alias("_p"), unit("_b").alias("_q")))
+    turned = slerp(tuple(F.col(f"_p.{k}") for k in _POSE[3:]), tuple(F.col(f"_q.{k}") for k in _POSE[3:]), F.col("_alpha"))
+    b = b.select(by, "t_us", *_POSE[:3], *(q.alias(k) for q, k in zip(turned, _POSE[3:], strict=True)))
+    if sensor is not None:
+        at = moved(matrix(tuple(F.col(k) for k in _POSE[3:])), tuple(F.col(k) for k in _POSE[:3]), tuple(F.lit(row[3]) for row in sensor))
+        q = tuple(F.lit(v) for v in quaternion(sensor))
+        b = b.select(by, "t_us", *(c.alias(k) for c, k in zip((*at, *times_turned(tuple(F.col(k) for k in _POSE[3:]), q)), _POSE, strict=True)))
+    return stamps.join(durable(b), [by, "t_us"]).select(*stamps.columns, *_POSE)
 
 
 def _unit(q: tuple[Column, ...]) -> tuple[Column, ...]:

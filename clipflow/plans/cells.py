@@ -88,11 +88,14 @@ def sort_ids_around_used(spark, sf):
     return sorting.dense_ids(d, "frame_id", 5, d.where("track_id % 2 = 0").select((F.col("track_id") * 3).alias("new_id")))
 
 
-@query("merge_chains", f"""WITH {TRACKED}, l AS (SELECT frame_id, CASE class_name WHEN 'Car' THEN 0 WHEN 'Truck' THEN 1 ELSE 2 END AS chain, event_id AS place, det_idx::BIGINT AS obj_id FROM trk), a AS (SELECT *, row_number() OVER (PARTITION BY frame_id, obj_id ORDER BY chain, place) > 1 AS again FROM l)
-SELECT frame_id, chain, place, obj_id, CASE WHEN again THEN row_number() OVER (PARTITION BY frame_id, again ORDER BY chain, place, obj_id) + 899999 ELSE obj_id END AS new_id FROM a""")
+@query("merge_chains", f"""WITH {TRACKED}, l AS (SELECT frame_id, CASE class_name WHEN 'Car' THEN 0 WHEN 'Truck' THEN 1 ELSE 2 END AS chain, event_id AS place, CASE WHEN det_idx = 3 THEN 900001 ELSE det_idx % 3 END::BIGINT AS obj_id FROM trk),
+a AS (SELECT *, row_number() OVER (PARTITION BY frame_id, obj_id ORDER BY chain, place) > 1 AS again FROM l), k AS (SELECT *, CASE WHEN again THEN row_number() OVER (PARTITION BY frame_id, again ORDER BY chain, place, obj_id) END AS k FROM a),
+f AS (SELECT frame_id, v, row_number() OVER (PARTITION BY frame_id ORDER BY v) AS k FROM (SELECT DISTINCT frame_id FROM l) q, range(900000, 900032) t(v) WHERE NOT EXISTS (SELECT 1 FROM l u WHERE u.frame_id = q.frame_id AND u.obj_id = v))
+SELECT k.frame_id, chain, place, obj_id, CASE WHEN again THEN f.v ELSE obj_id END AS new_id FROM k LEFT JOIN f ON f.frame_id = k.frame_id AND f.k = k.k""")
 def merge_chains(spark, sf):
     chain = F.when(F.col("class_name") == "Car", 0).when(F.col("class_name") == "Truck", 1).otherwise(2).alias("chain")
-    return sorting.chains_merged(tracked(spark, sf).select("frame_id", chain, F.col("event_id").alias("place"), F.col("det_idx").cast("long").alias("obj_id")), 900_000)
+    own = F.when(F.col("det_idx") == 3, 900_001).otherwise(F.col("det_idx") % 3).cast("long").alias("obj_id")
+    return sorting.chains_merged(tracked(spark, sf).select("frame_id", chain, F.col("event_id").alias("place"), own), 900_000)
 
 
 @query("contract_identity_only", f"WITH {TRACKED}, b AS (SELECT event_id, frame_id, x FROM trk), a AS (SELECT event_id, frame_id, CASE WHEN det_idx = 7 THEN x + 1 ELSE x END AS x FROM trk) SELECT *, 'before' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) UNION ALL SELECT *, 'after' FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)")

@@ -92,3 +92,15 @@ def fill_holes_with_points(spark, sf):
     filled = stitching.holes_filled(d, "frame", 2, ("x", "y", "z", "dx", "dy", "dz")).withColumn("yaw", F.lit(0.0))
     counted = points.counted(filled, cloud(spark, sf).withColumn("frame", frame), ("frame", "track_id"), 1e-6)
     return counted.where("n_points >= 2").select("track_id", "frame", "n_points")
+
+
+#: Tracks by their median place and the frames that they are in, as candidates and members.
+@query("join_suppressed", f"""WITH RECURSIVE {TRACKED}, c AS (SELECT track_id AS id, median(x) AS x, median(y) AS y, row_number() OVER (ORDER BY count(*) DESC, track_id) AS place FROM trk GROUP BY 1), m AS (SELECT DISTINCT track_id AS id, frame_id % 3000 AS member FROM trk), z AS (SELECT id, count(*) AS n FROM m GROUP BY 1),
+s AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM m a JOIN m b ON a.member = b.member AND a.id <> b.id GROUP BY 1, 2), o AS (SELECT a.id AS a, b.id AS b FROM c a JOIN c b ON a.id <> b.id WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) <= 0.8 UNION SELECT s.a, s.b FROM s JOIN z p ON p.id = s.a JOIN z q ON q.id = s.b WHERE k >= 0.25 * least(p.n, q.n)),
+g AS (SELECT b AS id, list(a) AS by_ FROM o GROUP BY 1), w AS (SELECT c.id, place, coalesce(by_, []) AS by_ FROM c LEFT JOIN g USING (id)),
+t AS (SELECT 0::BIGINT AS place, []::BIGINT[] AS kept, 0::BIGINT AS id, 0::BIGINT AS leader UNION ALL SELECT w.place, CASE WHEN len(f) > 0 THEN kept ELSE list_append(kept, w.id) END, w.id, CASE WHEN len(f) > 0 THEN f[1] ELSE w.id END FROM (SELECT w.*, kept, list_filter(kept, lambda e: list_contains(w.by_, e)) AS f FROM t JOIN w ON w.place = t.place + 1) w)
+SELECT id, leader FROM t WHERE place > 0""")
+def join_suppressed(spark, sf):
+    d = tracked(spark, sf)
+    c = d.groupBy(F.col("track_id").alias("id")).agg(F.median("x").alias("x"), F.median("y").alias("y"), F.struct(-F.count("*"), F.col("track_id")).alias("place"))
+    return matching.suppressed(c, d.select(F.col("track_id").alias("id"), (F.col("frame_id") % 3000).alias("member")), 0.8, 0.25)

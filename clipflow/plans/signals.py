@@ -74,14 +74,48 @@ def track_movements(spark, sf):
     return rounded(d.select("track_id", F.col("left").alias("to_left"), F.col("right").alias("to_right"), "straight", "movement"), 1)
 
 
-@query("signal_axis_pairs", f"""WITH {_FEATURES}, d AS (SELECT track_id AS id, round(net_turn, 6) AS h FROM fe), p AS (SELECT a.id AS a, b.id AS b, round(abs(fmod(fmod(a.h - b.h - pi() + pi(), 2 * pi()) + 2 * pi(), 2 * pi()) - pi()), 6) AS apart FROM d a JOIN d b ON a.id < b.id),
-k AS (SELECT * FROM p WHERE apart <= 0.4), e AS (SELECT a, b, apart FROM k UNION ALL SELECT b, a, apart FROM k), m AS (SELECT a, arg_min(b, (apart, b)) AS best FROM e GROUP BY 1)
-SELECT k.a, k.b, {r("apart", 4)} FROM k JOIN m x ON x.a = k.a AND x.best = k.b JOIN m y ON y.a = k.b AND y.best = k.a""")
+@query("signal_axis_pairs", f"""WITH RECURSIVE {_FEATURES}, d AS (SELECT track_id AS id, round(net_turn, 6) AS h FROM fe), p AS (SELECT a.id AS a, b.id AS b, round(abs(fmod(fmod(a.h - b.h - pi() + pi(), 2 * pi()) + 2 * pi(), 2 * pi()) - pi()), 6) AS apart FROM d a JOIN d b ON a.id < b.id),
+k AS (SELECT *, row_number() OVER (ORDER BY apart, a, b) AS i FROM p WHERE apart <= 0.4),
+gt AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS used, 0::BIGINT AS a, 0::BIGINT AS b, 0.0::DOUBLE AS apart, false AS took UNION ALL SELECT k.i, CASE WHEN free THEN list_concat(used, [k.a, k.b]) ELSE used END, k.a, k.b, k.apart, free FROM (SELECT k.*, used, NOT list_contains(used, k.a) AND NOT list_contains(used, k.b) AS free FROM gt JOIN k ON k.i = gt.i + 1) k)
+SELECT a, b, {r("apart", 4)} FROM gt WHERE took""")
 def signal_axis_pairs(spark, sf):
     d = signals.turn_features(observations(spark, sf), 30.0).select(F.col("track_id").alias("id"), F.round("net_turn", 6).alias("heading"))
     return rounded(signals.axis_pairs(d, 0.4))
 
 
+_WAYS = f"""{OBSERVATIONS}, wy AS (SELECT track_id AS id, track_id AS place, track_id % 2 AS clip, ['left', 'straight', 'u_turn', 'right'][track_id % 4 + 1] AS movement, round(atan2(arg_max(coalesce(y, 0), (t_us, event_id)) - arg_min(coalesce(y, 0), (t_us, event_id)), arg_max(x, (t_us, event_id)) - arg_min(x, (t_us, event_id))), 6) AS h, avg(x) AS x, avg(coalesce(y, 0)) AS y FROM obs WHERE x IS NOT NULL GROUP BY ALL),
+wo AS (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY place) AS i FROM wy),
+ld AS (SELECT clip, i, [{{'id': id, 'h': h, 'x': x, 'y': y}}] AS l, id AS lead FROM wo WHERE i = 1 UNION ALL SELECT clip, i, CASE WHEN len(c) > 0 THEN l ELSE list_append(l, {{'id': id, 'h': h, 'x': x, 'y': y}}) END, CASE WHEN len(c) > 0 THEN c[1].id ELSE id END
+ FROM (SELECT o.*, l, list_filter(l, lambda e: abs(fmod(fmod(o.h - e.h + pi(), 2 * pi()) + 2 * pi(), 2 * pi()) - pi()) <= 0.6 AND abs((o.x - e.x) * sin(e.h) - (o.y - e.y) * cos(e.h)) <= 30) AS c FROM ld JOIN wo o ON o.clip = ld.clip AND o.i = ld.i + 1)),
+ways AS (SELECT wo.*, ld.lead FROM wo JOIN ld ON ld.clip = wo.clip AND ld.i = wo.i)"""
+
+
+def _ways(spark, sf):
+    o = observations(spark, sf).where("x IS NOT NULL").withColumn("y", F.coalesce("y", F.lit(0.0)))
+    at = F.struct("t_us", "event_id")
+    end = lambda f, c: f(c, at)
+    name = F.element_at(F.array(*map(F.lit, ("left", "straight", "u_turn", "right"))), (F.col("id") % 4 + 1).cast("int"))
+    h = F.round(F.atan2(end(F.max_by, "y") - end(F.min_by, "y"), end(F.max_by, "x") - end(F.min_by, "x")), 6)
+    t = o.groupBy(F.col("track_id").alias("id")).agg(h.alias("heading"), F.avg("x").alias("x"), F.avg("y").alias("y"))
+    return t.withColumns({"place": F.col("id"), "clip": F.col("id") % 2, "movement": name})
+
+
+@query("signal_directions", f"WITH RECURSIVE {_WAYS} SELECT id, lead AS leader FROM ways")
+def signal_directions(spark, sf):
+    return signals.directions(_ways(spark, sf), ("clip",), 0.6, 30.0)
+
+
+@query("signal_lanes", f"""WITH RECURSIVE {_WAYS}, dr AS (SELECT lead, atan2(sum(sin(h)), sum(cos(h))) AS hd, median(x) AS mx, median(y) AS my FROM ways GROUP BY 1 HAVING count(*) >= 2),
+la AS (SELECT lead, CASE WHEN movement IN ('left', 'right') THEN movement ELSE 'straight' END AS movement, hd, (x - mx) * sin(hd) - (y - my) * cos(hd) AS aside FROM ways JOIN dr USING (lead)),
+lb AS (SELECT lead, movement, any_value(hd) AS heading, median(aside) AS c, greatest(3.75, quantile_cont(aside, 0.98) - quantile_cont(aside, 0.02) + 1.875) AS width, count(*) AS n FROM la GROUP BY 1, 2),
+lc AS (SELECT *, coalesce(max(c) FILTER (movement = 'straight') OVER (PARTITION BY lead), CASE WHEN count(*) OVER (PARTITION BY lead) > 1 THEN median(c) OVER (PARTITION BY lead) END) AS st FROM lb)
+SELECT lead AS direction, movement, {r('heading', 3)}, {r('CASE WHEN st IS NULL THEN c WHEN movement = $$left$$ THEN least(c, st - 3.75) WHEN movement = $$right$$ THEN greatest(c, st + 3.75) ELSE c END', 3, 'centre')}, {r('width', 3)}, n FROM lc""")
+def signal_lanes(spark, sf):
+    t = _ways(spark, sf)
+    named = t.join(signals.directions(t, ("clip",), 0.6, 30.0).withColumnRenamed("leader", "direction"), "id")
+    return rounded(signals.lanes(named, 2, 3.75), 3)
+
+
 @query("signal_phases", f"""WITH RECURSIVE {OBSERVATIONS}, sc AS (SELECT track_id, floor(t_us / {_BIN})::BIGINT AS bin, floor(avg(x) / 25)::DOUBLE AS s0, (5 - floor(avg(x) / 25))::DOUBLE AS s1, count(*)::DOUBLE AS s2 FROM obs GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY bin) AS i FROM sc),
 f AS (SELECT track_id, bin, i, s0 AS c0, s1 AS c1, s2 AS c2, 0 AS b0, 1 AS b1, 2 AS b2 FROM o WHERE i = 1
  UNION ALL SELECT track_id, bin, i, CASE WHEN c0 >= m - 2 THEN c0 ELSE m - 2 END + s0, CASE WHEN c1 >= m - 2 THEN c1 ELSE m - 2 END + s1, CASE WHEN c2 >= m - 2 THEN c2 ELSE m - 2 END + s2, CASE WHEN c0 >= m - 2 THEN 0 ELSE k END, CASE WHEN c1 >= m - 2 THEN 1 ELSE k END, CASE WHEN c2 >= m - 2 THEN 2 ELSE k END

@@ -73,7 +73,7 @@ _M = [["1 - 2 * (qy * qy + qz * qz)", "2 * (qx * qy - qz * qw)", "2 * (qx * qz +
 _WORLD = f"""{TRACKED}, {_POSES}, fr AS (SELECT *, track_id % 10 AS clip FROM trk WHERE class_name IN ('Car', 'Truck')),
 ab AS (SELECT fr.*, a.clip IS NOT NULL AS has_a, b.clip IS NOT NULL AS has_b, a.t_us AS t_a, b.t_us AS t_b, {', '.join(f'coalesce(a.{k}, b.{k}) AS a{k}, coalesce(b.{k}, a.{k}) AS b{k}' for k in ('px', 'py', 'pz'))},
  {', '.join(f'coalesce({_U("a", k)}, {_U("b", k)}) AS a{k}, coalesce({_U("b", k)}, {_U("a", k)}) AS b{k}' for k in ('qx', 'qy', 'qz', 'qw'))} FROM fr ASOF LEFT JOIN pose a ON fr.clip = a.clip AND fr.t_us >= a.t_us ASOF LEFT JOIN pose b ON fr.clip = b.clip AND fr.t_us <= b.t_us),
-al AS (SELECT *, CASE WHEN NOT has_a OR NOT has_b OR t_b - t_a <= 0 OR t_b - t_a > 3000000 THEN 0 ELSE (t_us - t_a) / (t_b - t_a)::DOUBLE END AS alpha, aqx * bqx + aqy * bqy + aqz * bqz + aqw * bqw AS dot FROM ab WHERE has_a OR has_b),
+al AS (SELECT *, CASE WHEN NOT has_a OR NOT has_b OR t_b - t_a <= 0 THEN 0 WHEN t_b - t_a > 3000000 THEN CASE WHEN 2 * (t_us - t_a) <= t_b - t_a THEN 0 ELSE 1 END ELSE (t_us - t_a) / (t_b - t_a)::DOUBLE END AS alpha, aqx * bqx + aqy * bqy + aqz * bqz + aqw * bqw AS dot FROM ab WHERE has_a OR has_b),
 an AS (SELECT *, abs(dot) > 0.9995 AS close, acos(least(abs(dot), 1)) AS angle, CASE WHEN dot < 0 THEN -1 ELSE 1 END AS sg FROM al),
 fs AS (SELECT *, CASE WHEN close THEN 1 - alpha ELSE sin((1 - alpha) * angle) / sin(angle) END AS f1, sg * CASE WHEN close THEN alpha ELSE sin(alpha * angle) / sin(angle) END AS f2 FROM an),
 rw AS (SELECT *, {', '.join(f'a{k} * f1 + b{k} * f2 AS r{k}' for k in ('qx', 'qy', 'qz', 'qw'))} FROM fs),
