@@ -7,9 +7,9 @@ rate is its source's target over its source's size.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 ordered last; a source without words has target 0 and rate 0; an empty table
-gives an empty mix; rows that repeat are mixed each on their own, and those
-with the same id share one draw; other columns pass through `mix` untouched,
-but for a column copy_no, which is replaced.
+gives an empty mix; rows of one id or without id have draws of their own, by
+their texts (rows that repeat both share one); other columns, of any name, pass
+through `mix` untouched, but for a column copy_no in any case, which is replaced.
 
 The only rows that meet in one task are the per-source totals (one row for each
 source); documents are never grouped whole, so a source with a third of all
@@ -35,9 +35,9 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends only on the id and the seed."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) that depends only on the id, the text and the seed."""
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
@@ -68,28 +68,34 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     )
 
 
+def copies_of(rate: Column, drawn: Column) -> Column:
+    return F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies), a row for each document."""
-    sizes = stored(docs.select("doc_id", "source", words_of(F.col("text")).alias("size")), "mix-sizes")
+    sizes = stored(docs.select("doc_id", "source", words_of(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text"), seed).alias("drawn")), "mix-sizes")
     targets = source_targets(sizes, weights, most)
     d, t = sizes.alias("d"), targets.alias("t")
     rate = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0)
-    copies = F.floor(rate) + F.when(draw(F.col("d.doc_id"), seed) < rate - F.floor(rate), 1).otherwise(0)
-    return d.join(t, F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", copies.cast("long").alias("copies"))
+    return d.join(t, F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", copies_of(rate, F.col("d.drawn")).cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The mixture itself: every column of docs, and copy_no from 1 up for each emitted copy.
 
-    The rates join the documents by source; texts are neither shuffled nor grouped.
+    The rates join the documents by source; texts are neither shuffled nor
+    grouped.  A document travels as one struct, so that no column's name can
+    clash with one of this function's.
     """
     sizes = docs.select("source", words_of(F.col("text")).alias("size"))
-    rates = source_targets(sizes, weights, most).select(F.col("source").alias("_mix_source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("_mix_rate"))
-    joined = docs.join(rates, docs["source"].eqNullSafe(rates["_mix_source"]))
-    rate = F.col("_mix_rate")
-    copies = (F.floor(rate) + F.when(draw(docs["doc_id"], seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
-    made = joined.withColumn("_mix_copies", copies).where(F.col("_mix_copies") > 0)
-    return made.select(*[docs[c] for c in docs.columns if c != "copy_no"], F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))).alias("copy_no"))
+    rates = source_targets(sizes, weights, most).select(F.col("source").alias("of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
+    whole = docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("doc"))
+    of = lambda c: F.col("doc").getField(c)
+    joined = whole.join(rates, of("source").eqNullSafe(F.col("of")))
+    made = joined.select("doc", copies_of(F.col("rate"), draw(of("doc_id"), of("text"), seed)).cast("int").alias("copies")).where("copies > 0")
+    each = made.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no"))
+    return each.select(*(of(c).alias(c) for c in docs.columns if c.lower() != "copy_no"), "copy_no")
 
 
 def op8_mix(spark, sf_dir: str) -> DataFrame:
@@ -99,7 +105,7 @@ def op8_mix(spark, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(text, '')) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w, source_size::DOUBLE * 3 AS lim FROM s),
 f AS (SELECT *, lim / w AS fill FROM r),
@@ -107,7 +113,7 @@ l AS (SELECT *, (sum(source_size::DOUBLE) OVER () - coalesce(sum(lim) OVER p, 0)
       WINDOW p AS (ORDER BY fill, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size, CASE WHEN fill > level THEN w * (SELECT arg_min(level, fill) FROM l WHERE fill > level) ELSE lim END AS target FROM l),
 j AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-      ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0 AS u
+      ('0x' || substr(md5('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.key), 1, 12))::BIGINT::DOUBLE / 281474976710656.0 AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, ((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM j
 """

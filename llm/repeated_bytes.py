@@ -41,15 +41,19 @@ from llm.textkit import buffers, byte_sums, mix, sliding_min, slices, span_hash
 LENGTH, GRAM = 100, 32
 _SLICE = 2 << 20
 _PLACE = np.uint64((1 << 22) - 1)
-_LAST = (1 << 63) - 1
 _STRETCH = "h long, doc long, place long, g long, first long, n int, bytes binary"
 _RANGE = "doc long, row int, start long, end long"
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """doc, row and text: the order of the documents (row tells texts of one id apart)."""
+    """doc, row and text: the order of the documents (row tells texts of one id apart).
+
+    Documents without id come after ids below 2**62, by 62 bits of a hash of
+    text and length, so that doc and row together tell any such texts apart.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+    nameless = F.shiftrightunsigned(F.xxhash64(text, F.length(text)), 2) + F.lit(1 << 62)
+    doc = F.coalesce(F.col("doc_id").cast("long"), nameless)
     return docs.select(doc.alias("doc"), F.pmod(F.xxhash64(text), F.lit(1 << 31)).cast("int").alias("row"), text.alias("text"), *more)
 
 

@@ -409,6 +409,23 @@ def test_mixing_takes_what_the_targets_say(spark, docs, rows, none):
     assert mixing.plan(none).count() == 0 and mixing.mix(none).count() == 0
 
 
+def test_mixing_draws_for_each_text_and_takes_columns_of_any_name(spark):
+    rows = [(None if i % 2 else 7, f"text {i} of eleven words a b c d e f", s) for s in ("a", "b", "c") for i in range(4200 if s == "b" else 2400)]
+    odd = spark.createDataFrame([(*x, 1, 2, 3, 4, 5) for x in rows], ["doc_id", "text", "source", "_mix_rate", "Copy_No", "a.b", "doc", "rate"])
+    plan = mixing.plan(odd)
+    for r in plan.groupBy("source").agg({"copies": "sum", "source_size": "max", "target": "max"}).collect():
+        assert r["sum(copies)"] * 11 == pytest.approx(r["max(target)"], rel=0.04)
+    mixed = mixing.mix(odd)
+    assert mixed.columns == ["doc_id", "text", "source", "_mix_rate", "a.b", "doc", "rate", "copy_no"]
+    assert mixed.count() == plan.agg({"copies": "sum"}).first()[0] and mixed.select("`a.b`").distinct().collect() == [(3,)]
+
+
+def test_repeated_bytes_tell_texts_without_id_apart(spark):
+    d = spark.range(120_000).selectExpr("cast(null AS long) AS doc_id", "concat('text ', id) AS text")
+    keyed = repeated_bytes.keyed(d)
+    assert keyed.select("doc", "row").distinct().count() == 120_000 and keyed.where("doc < 4611686018427387904").count() == 0
+
+
 def test_mixing_reaches_its_targets(spark):
     d = spark.createDataFrame([(i, "a b c d e", "abcd"[min(i % 11, 3)]) for i in range(8000)], "doc_id long, text string, source string")
     taken = {}
