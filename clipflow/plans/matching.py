@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clipflow.operators import filters, matching, points, stitching
+from clipflow.operators import alignment, filters, matching, points, stitching
 from clipflow.plans.catalog import HOUR, query, r, rounded
 from clipflow.plans.shapes import _AX
 from clipflow.plans.signals import _PARTS, _STATES, _parts, _states
@@ -104,3 +104,18 @@ def join_suppressed(spark, sf):
     d = tracked(spark, sf)
     c = d.groupBy(F.col("track_id").alias("id")).agg(F.median("x").alias("x"), F.median("y").alias("y"), F.struct(-F.count("*"), F.col("track_id")).alias("place"))
     return matching.suppressed(c, d.select(F.col("track_id").alias("id"), (F.col("frame_id") % 3000).alias("member")), 0.8, 0.25)
+
+
+_SLOTS = "sl AS (SELECT k AS slot, 4 * k - 20.0::DOUBLE AS pos FROM range(12) t(k))"
+
+
+@query("row_matches", f"""WITH RECURSIVE {TRACKED}, {_SLOTS}, o AS (SELECT frame_id, y, row_number() OVER (PARTITION BY frame_id ORDER BY y, event_id) AS i FROM trk),
+c AS (SELECT o.frame_id, o.i, list(CASE WHEN abs(y - pos) <= 5 THEN 1000 - round(abs(y - pos), 5) ELSE -1e9 END ORDER BY slot) AS w FROM o, sl GROUP BY ALL), z AS (SELECT frame_id, max(i) AS n FROM o GROUP BY 1),
+d AS (SELECT DISTINCT frame_id, 0::BIGINT AS i, list_transform(range(13), lambda k: 0.0::DOUBLE) AS v FROM o UNION ALL
+  SELECT frame_id, i, list_transform(range(13), lambda k: list_max(e[1:k + 1])) FROM (SELECT c.frame_id, c.i, list_transform(range(13), lambda k: CASE WHEN k = 0 THEN 0.0 ELSE greatest(v[k + 1], v[k] + w[k]) END) AS e FROM d JOIN c ON c.frame_id = d.frame_id AND c.i = d.i + 1))
+SELECT frame_id, ceil(v[13] / 1000)::BIGINT AS n, {r('ceil(v[13] / 1000) * 1000 - v[13]', 5, 'cost')} FROM d JOIN z USING (frame_id) WHERE d.i = z.n AND v[13] > 0""")
+def row_matches(spark, sf):
+    slots = F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.struct(k.cast("long").alias("slot"), (k * 4 - 20.0).alias("at"))), lambda s: F.abs(F.col("y") - s["at"]) <= 5))
+    d = tracked(spark, sf).select("frame_id", F.struct("y", "event_id").alias("seen_at"), F.col("event_id").alias("seen"), "y", slots.alias("s"))
+    pairs = d.select("frame_id", "seen", "seen_at", F.col("s.slot").alias("slot"), F.col("s.at").alias("slot_at"), F.round(F.abs(F.col("y") - F.col("s.at")), 5).alias("cost"))
+    return rounded(alignment.row_matches(pairs, ("frame_id",)).groupBy("frame_id").agg(F.count("*").alias("n"), F.sum("cost").alias("cost")), 5)
