@@ -44,29 +44,3 @@ def area(polygon: Column) -> Column:
     after = F.concat(F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(0))), F.slice(polygon, 1, 1))
     terms = F.zip_with(polygon, after, lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])
     return F.when(F.size(polygon) < 3, 0.0).otherwise(F.abs(F.aggregate(terms, F.lit(0.0), lambda t, v: t + v)) / 2)
-
-
-def clipped(polygon: Column, by: Column) -> Column:
-    """The part of a convex polygon inside another one, whose corners run counter-clockwise."""
-    edges = F.zip_with(by, F.concat(F.slice(by, 2, F.size(by) - 1), F.slice(by, 1, 1)), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
-
-    def cut(shape: Column, edge: Column) -> Column:
-        side = lambda v: (edge["q"]["x"] - edge["p"]["x"]) * (v["y"] - edge["p"]["y"]) - (edge["q"]["y"] - edge["p"]["y"]) * (v["x"] - edge["p"]["x"])
-        after = F.concat(F.slice(shape, 2, F.greatest(F.size(shape) - 1, F.lit(0))), F.slice(shape, 1, 1))
-
-        def parts(v: Column, w: Column) -> Column:
-            a, b = side(v), side(w)
-            t = a / (a - b)
-            crossing = F.struct((v["x"] + t * (w["x"] - v["x"])).alias("x"), (v["y"] + t * (w["y"] - v["y"])).alias("y"))
-            none = F.array().cast("array<struct<x:double,y:double>>")
-            return F.concat(F.when(a >= 0, F.array(v)).otherwise(none), F.when((a >= 0) != (b >= 0), F.array(crossing)).otherwise(none))
-
-        return F.flatten(F.zip_with(shape, after, parts))
-
-    return F.aggregate(edges, polygon, cut)
-
-
-def oriented_iou(p: dict[str, Column], q: dict[str, Column]) -> Column:
-    """Intersection over union of two oriented boxes with x, y, dx, dy, yaw."""
-    a, b = (corners(*(v[k] for k in ("x", "y", "dx", "dy", "yaw"))) for v in (p, q))
-    return iou(area(clipped(a, b)), area(a), area(b))

@@ -50,13 +50,6 @@ def test_slerp_takes_the_shorter_arc(spark):
     assert one(spark, *rotations.matrix(tuple(F.lit(0.0) for _ in range(4)))[0])[:] == (1.0, 0.0, 0.0)
 
 
-def test_oriented_iou(spark):
-    b = lambda *v: {k: F.lit(float(x)) for k, x in zip(("x", "y", "dx", "dy", "yaw"), v)}
-    r = one(spark, boxes.oriented_iou(b(0, 0, 2, 2, 0), b(1, 0, 2, 2, 0)), boxes.oriented_iou(b(0, 0, 2, 2, 0), b(0, 0, 2, 2, math.pi / 4)), boxes.oriented_iou(b(0, 0, 1, 1, 0), b(5, 0, 1, 1, 0)), boxes.oriented_iou(b(0, 0, 4, 2, 1), b(0, 0, 4, 2, 1)))
-    octagon = 8 * (math.sqrt(2) - 1)
-    assert list(r) == pytest.approx([1 / 3, octagon / (8 - octagon), 0, 1])
-
-
 def test_hard_filter_tells_all_reasons_and_the_first(spark):
     d = box(spark, (1, 0, 1, "Car", 0.9, 0, 0, 4, 2), (1, 1, 1, "Boat", 0.0, 90, 0, 4, 2), (1, 2, 1, "Car", 0.9, 0, 0, 0, 2), (1, 3, 1, "Pedestrian", 0.9, 30, 10, 1, 1))
     got = {r.det_idx: r for r in filters.hard_filtered(d, filters.HardFilter()).collect()}
