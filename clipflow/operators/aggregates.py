@@ -87,11 +87,16 @@ def mixed_tracks_unified(d: DataFrame, strong: str, leftover: str) -> DataFrame:
 
 def axis_of(d: DataFrame, by: str, angle: Column) -> DataFrame:
     """(by, axis): the axis modulo pi nearest to the angles, from the median of doubled angles or a quarter turn from it."""
+    return heading_of(d, by, angle).withColumn("axis", F.pmod("axis", F.lit(math.pi)))
+
+
+def heading_of(d: DataFrame, by: str, angle: Column) -> DataFrame:
+    """`axis_of` as a heading: the median's own, or a quarter turn on."""
     a = d.select(by, angle.alias("_a"))
     middle = a.groupBy(by).agg((F.atan2(F.median(F.sin(2 * F.col("_a"))), F.median(F.cos(2 * F.col("_a")))) / 2).alias("_m"))
     cost = a.join(middle, by).groupBy(by, "_m").agg(F.sum(axis_turn(F.col("_a"), F.col("_m"))).alias("_own"), F.sum(axis_turn(F.col("_a"), F.col("_m") + math.pi / 2)).alias("_quarter"))
     best = F.when(F.round("_own", 6) <= F.round("_quarter", 6), F.col("_m")).otherwise(F.col("_m") + math.pi / 2)
-    return cost.select(by, F.pmod(best, F.lit(math.pi)).alias("axis"))
+    return cost.select(by, best.alias("axis"))
 
 
 def representative_class(d: DataFrame, priority: Column) -> DataFrame:
