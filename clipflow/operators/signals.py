@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -58,20 +60,29 @@ def crossings(places: DataFrame, step: float, most_gap_us: int, line: float, tol
 
     Progress counts from the last place clearly before the line, so slow
     creeping adds up; once it reaches `step` beyond, the row is told and counting
-    starts anew there, as it does after a long gap.  The rows of a track are
-    folded in their order.
+    starts anew there, as it does after a long gap.  Rows stream past in the
+    order of their track and time, two numbers being all that is held of a
+    track; rows without time or place are left out.
     """
-    rows = places.groupBy("track_id").agg(F.sort_array(F.collect_list(F.struct("t_us", "event_id", "ahead"))).alias("_rows"))
-    none = F.array().cast("array<bigint>")
-    start = F.struct(F.lit(None).cast("bigint").alias("t"), F.lit(None).cast("double").alias("anchor"), none.alias("out"))
 
-    def fold(a: Column, r: Column) -> Column:
-        fresh = a["anchor"].isNull() | (r["t_us"] - a["t"] > most_gap_us) | (r["ahead"] <= line - tolerance)
-        passed = ~fresh & (r["ahead"] >= line) & (r["ahead"] - a["anchor"] >= step)
-        anchor = F.when(fresh | passed, r["ahead"]).otherwise(a["anchor"])
-        return F.struct(r["t_us"].alias("t"), anchor.alias("anchor"), F.when(passed, F.array_append(a["out"], r["event_id"])).otherwise(a["out"]).alias("out"))
-
-    return rows.select("track_id", F.explode(F.aggregate("_rows", start, fold, lambda a: a["out"])).alias("event_id"))
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        track, last, anchor = None, None, None
+        for batch in batches:
+            told = []
+            for i, (k, t, ahead) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("track_id", "t_us", "ahead")), strict=True)):
+                fresh = anchor is None or k != track or t - last > most_gap_us or ahead <= line - tolerance
+                passed = not fresh and ahead >= line and ahead - anchor >= step
+                if passed:
+                    told.append(i)
+                if fresh or passed:
+                    anchor = ahead
+                track, last = k, t
+            yield batch.select(["track_id", "event_id"]).take(pa.array(told, pa.int64()))
+
+    rows = places.select("track_id", "event_id", "t_us", "ahead").where("t_us IS NOT NULL AND ahead IS NOT NULL")
+    ordered = rows.repartition("track_id").sortWithinPartitions("track_id", "t_us", "event_id")
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("track_id", "event_id")}
+    return ordered.mapInArrow(scan, f"track_id {kinds['track_id']}, event_id {kinds['event_id']}")
 
 
 def movements(features: DataFrame, strong: float, weak: float, lateral: float) -> DataFrame:
