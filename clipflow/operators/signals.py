@@ -178,24 +178,48 @@ def lanes(tracks: DataFrame, least: int, width: float) -> DataFrame:
 def phases(scores: DataFrame, by: str, names: tuple[str, ...], switch: float) -> DataFrame:
     """(by, bin, phase): the likeliest course of phases, where each bin's score of its phase counts and a switch costs.
 
-    The bins of a `by` are folded forward with the best course into each phase,
-    then the best course is read back; of as good ones the phase named first.
+    Bins stream past in the order of their `by`; the best course into each phase
+    goes on from bin to bin, one small number for each phase and bin tells where
+    it came from, and the best course is read back at the end of a `by`.  Of as
+    good ones the phase named first; missing scores count nothing.
     """
-    rows = scores.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(F.col("bin"), F.array(*(F.col(n) for n in names)).alias("s")))).alias("_rows"))
     n = len(names)
-    start = F.struct(F.array(*[F.lit(0.0)] * n).alias("cost"), F.array().cast("array<array<int>>").alias("back"))
-
-    def fold(a: Column, r: Column) -> Column:
-        best = F.array_max(a["cost"])
-        from_ = F.array_position(a["cost"], best).cast("int") - 1
-        stays = lambda k: F.get(a["cost"], k) >= best - switch
-        cost = F.array(*(F.round(F.when(stays(k), F.get(a["cost"], k)).otherwise(best - switch) + F.get(r["s"], k), 6) for k in range(n)))
-        back = F.array(*(F.when(stays(k), F.lit(k)).otherwise(from_) for k in range(n)))
-        return F.struct(cost.alias("cost"), F.array_append(a["back"], back).alias("back"))
-
-    f = rows.select(by, "_rows", F.aggregate("_rows", start, fold).alias("_f"))
-    last = F.array_position(F.col("_f.cost"), F.array_max("_f.cost")).cast("int") - 1
-    # from the last bin back: each phase tells the one before it
-    course = F.aggregate(F.reverse(F.slice("_f.back", 2, F.greatest(F.size("_f.back") - 1, F.lit(0)))), F.array(last), lambda c, b: F.concat(F.array(F.get(b, F.get(c, 0))), c))
-    each = f.select(by, F.explode(F.arrays_zip(F.col("_rows.bin").alias("bin"), course.alias("k"))).alias("e"))
-    return each.select(by, F.col("e.bin").alias("bin"), F.get(F.array(*map(F.lit, names)), F.col("e.k")).alias("phase"))
+
+    def course(bins: list, scores: list[list[float]]) -> list[str]:
+        cost, back = [0.0] * n, bytearray()
+        for s in scores:
+            best = max(cost)
+            first = cost.index(best)
+            stays = [c >= best - switch for c in cost]
+            cost = [round((c if stay else best - switch) + v, 6) for c, stay, v in zip(cost, stays, s, strict=True)]
+            back += bytes(k if stay else first for k, stay in enumerate(stays))
+        k, out = cost.index(max(cost)), []
+        for i in range(len(bins) - 1, -1, -1):
+            out.append(names[k])
+            k = back[i * n + k]
+        return out[::-1]
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, key, bins, held = None, None, [], []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key] * len(bins), kind.field(0).type), pa.array(bins, kind.field(1).type), pa.array(course(bins, held), pa.string())], [by, "bin", "phase"])
+
+        for batch in batches:
+            kind, ready = batch.schema, []
+            for k, b, *s in zip(*(batch.column(i).to_pylist() for i in range(n + 2)), strict=True):
+                if bins and k != key:
+                    ready.append(done())
+                    bins, held = [], []
+                key = k
+                bins.append(b)
+                held.append(s)
+            if ready:
+                yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
+        if bins:
+            yield done()
+
+    rows = scores.select(by, "bin", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_s{k}") for k, c in enumerate(names)))
+    ordered = rows.repartition(by).sortWithinPartitions(by, "bin", *(f"_s{k}" for k in range(n)))
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (by, "bin"))
+    return ordered.mapInArrow(follow, f"{fields}, phase string")
