@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from clipflow.operators import fits
 from clipflow.plans.catalog import query, r, rounded
 
-#: All boxes of forty frames as points of a rolling ground with bumps, and the last box of large orders as boxes on it.
-_DENSE = """pt AS (SELECT l_orderkey % 40 AS frame, (l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001 AS px, (l_extendedprice::DOUBLE / 1000 - 30) / 5 AS py, 0.03 * ((l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001) - 0.02 * ((l_extendedprice::DOUBLE / 1000 - 30) / 5) + l_discount::DOUBLE + CASE WHEN l_returnflag = 'R' THEN l_tax::DOUBLE * 20 ELSE 0 END AS pz FROM lineitem),
-bx AS (SELECT l_orderkey % 40 AS frame, l_orderkey * 1000000000 + round(l_extendedprice * 100)::BIGINT AS id, (l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001 AS x, (l_extendedprice::DOUBLE / 1000 - 30) / 5 AS y, 0.03 * ((l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001) - 0.02 * ((l_extendedprice::DOUBLE / 1000 - 30) / 5) + 0.75 AS z, 3 + l_discount::DOUBLE * 20 AS dx, 2.0::DOUBLE AS dy, 1.5::DOUBLE AS dz, l_tax::DOUBLE * 30 + 0.0123 AS yaw FROM lineitem WHERE l_linenumber = 7),
+#: All boxes of 375 orders as the points of a frame, a rolling ground with bumps, and the last box of large orders as boxes on it.
+_DENSE = """pt AS (SELECT l_orderkey // 375 AS frame, (l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001 AS px, (l_extendedprice::DOUBLE / 1000 - 30) / 5 AS py, 0.03 * ((l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001) - 0.02 * ((l_extendedprice::DOUBLE / 1000 - 30) / 5) + l_discount::DOUBLE + CASE WHEN l_returnflag = 'R' THEN l_tax::DOUBLE * 20 ELSE 0 END AS pz FROM lineitem),
+bx AS (SELECT l_orderkey // 375 AS frame, l_orderkey * 1000000000 + round(l_extendedprice * 100)::BIGINT AS id, (l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001 AS x, (l_extendedprice::DOUBLE / 1000 - 30) / 5 AS y, 0.03 * ((l_quantity::DOUBLE - 25) / 5 + l_extendedprice::DOUBLE / 700001) - 0.02 * ((l_extendedprice::DOUBLE / 1000 - 30) / 5) + 0.75 AS z, 3 + l_discount::DOUBLE * 20 AS dx, 2.0::DOUBLE AS dy, 1.5::DOUBLE AS dz, l_tax::DOUBLE * 30 + 0.0123 AS yaw FROM lineitem WHERE l_linenumber = 7),
 near AS (SELECT bx.*, px, py, pz, (px - x) * cos(yaw) + (py - y) * sin(yaw) AS al, (py - y) * cos(yaw) - (px - x) * sin(yaw) AS ac FROM bx JOIN pt USING (frame))"""
 _W = "WINDOW w AS (PARTITION BY id)"
 _GROUND = f"""{_DENSE}, g0 AS (SELECT * FROM near WHERE abs(al) <= dx / 2 + 1.2 AND abs(ac) <= dy / 2 + 1.2 AND NOT (abs(al) <= dx / 2 + 0.18 AND abs(ac) <= dy / 2 + 0.18) AND pz BETWEEN z - dz / 2 - 0.75 AND z - dz / 2 + 0.45),
@@ -28,7 +28,7 @@ _GROUND += f", gr AS (SELECT id, CASE WHEN n >= 8 AND sqrt(a * a + b * b) <= 0.3
 def dense(spark, sf):
     """Points (frame, px, py, pz) and boxes (frame, id, box)."""
     level = 0.03 * F.col("px") - 0.02 * F.col("py")
-    d = spark.read.parquet(f"{sf}/lineitem.parquet").select((F.col("l_orderkey") % 40).alias("frame"), (F.col("l_orderkey") * 1_000_000_000 + F.round(F.col("l_extendedprice") * 100).cast("long")).alias("id"), "l_linenumber", ((F.col("l_quantity").cast("double") - 25) / 5 + F.col("l_extendedprice").cast("double") / 700_001).alias("px"), ((F.col("l_extendedprice").cast("double") / 1000 - 30) / 5).alias("py"), F.col("l_discount").cast("double").alias("disc"), F.col("l_tax").cast("double").alias("tax"), F.col("l_returnflag").alias("flag"))
+    d = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.floor(F.col("l_orderkey") / 375).alias("frame"), (F.col("l_orderkey") * 1_000_000_000 + F.round(F.col("l_extendedprice") * 100).cast("long")).alias("id"), "l_linenumber", ((F.col("l_quantity").cast("double") - 25) / 5 + F.col("l_extendedprice").cast("double") / 700_001).alias("px"), ((F.col("l_extendedprice").cast("double") / 1000 - 30) / 5).alias("py"), F.col("l_discount").cast("double").alias("disc"), F.col("l_tax").cast("double").alias("tax"), F.col("l_returnflag").alias("flag"))
     points = d.select("frame", "px", "py", (level + F.col("disc") + F.when(F.col("flag") == "R", F.col("tax") * 20).otherwise(0.0)).alias("pz"))
     on = d.where("l_linenumber = 7").select("frame", "id", F.col("px").alias("x"), F.col("py").alias("y"), (level + 0.75).alias("z"), (3 + F.col("disc") * 20).alias("dx"), F.lit(2.0).alias("dy"), F.lit(1.5).alias("dz"), (F.col("tax") * 30 + 0.0123).alias("yaw"))
     return points, on
