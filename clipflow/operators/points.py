@@ -25,8 +25,14 @@ def inside(margin: float = 0.0) -> Column:
     return (F.abs(along) <= F.col("dx") / 2 + margin) & (F.abs(across) <= F.col("dy") / 2 + margin) & (F.abs(F.col("pz") - F.col("z")) <= F.col("dz") / 2 + margin)
 
 
-#: Side of the cells in which points and boxes meet.
-CELL = 4.0
+#: Side of the cells in which points and boxes meet, and where a copy of a box costs more than a test of a point.
+CELL, WIDE = 4.0, 32.0
+
+
+def reached(own: DataFrame, reach: Column, cell: float) -> DataFrame:
+    """own (x, y) once for each cell (_px, _py) within `reach` of it along both axes."""
+    across = lambda c: F.explode(F.sequence(F.floor((F.col(c) - reach) / cell), F.floor((F.col(c) + reach) / cell)))
+    return own.withColumn("_px", across("x")).withColumn("_py", across("y"))
 
 
 def near_points(own: DataFrame, points: DataFrame, frame: list[str], reach: Column, cell: float = CELL) -> DataFrame:
@@ -35,11 +41,8 @@ def near_points(own: DataFrame, points: DataFrame, frame: list[str], reach: Colu
     A point is in one cell, a box in each cell that it reaches, so a large frame
     is many keys, and a point meets only boxes that are near.
     """
-    at = lambda c: F.floor(c / cell)
-    across = lambda c: F.explode(F.sequence(at(F.col(c) - reach), at(F.col(c) + reach)))
-    boxes = own.withColumn("_px", across("x")).withColumn("_py", across("y"))
-    placed = points.withColumns({"_px": at(F.col("px")), "_py": at(F.col("py"))})
-    return boxes.join(placed, [*frame, "_px", "_py"]).drop("_px", "_py")
+    placed = points.withColumns({k: F.floor(F.col(c) / cell) for k, c in (("_px", "px"), ("_py", "py"))})
+    return reached(own, reach, cell).join(placed, [*frame, "_px", "_py"]).drop("_px", "_py")
 
 
 def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id", "det_idx"), margin: float = 0.0, shared: int = 1) -> DataFrame:
@@ -47,11 +50,11 @@ def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id"
 
     keys name a box; the first `shared` of them (its frame, and its clip if
     there is one) are the points' too.  Boxes are taken larger by the margin on
-    all sides.
+    all sides.  Cells are wide, so that a box is seldom in more than a few.
     """
     frame = list(keys[:shared])
     own = d.select(*keys, "x", "y", "z", "dx", "dy", "dz", "yaw")
-    met = near_points(own, points.select(*frame, "px", "py", "pz"), frame, F.hypot("dx", "dy") / 2 + abs(margin) * 2).where(inside(margin))
+    met = near_points(own, points.select(*frame, "px", "py", "pz"), frame, F.hypot("dx", "dy") / 2 + abs(margin) * 2, WIDE).where(inside(margin))
     stats = met.groupBy(*keys).agg(F.count("*").alias("n_points"), F.min("pz").alias("low"), F.max("pz").alias("high"))
     return d.join(stats, list(keys), "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)))
 
