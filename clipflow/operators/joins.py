@@ -115,5 +115,5 @@ def reused(existing: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def frame_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """(frame_id, side): frames that one side has and the other hasn't; none if the sides agree."""
-    left, right = a.select("frame_id").distinct(), b.select("frame_id").distinct()
-    return left.exceptAll(right).withColumn("side", F.lit("left")).union(right.exceptAll(left).withColumn("side", F.lit("right")))
+    seen = a.select("frame_id", F.lit("left").alias("side")).union(b.select("frame_id", F.lit("right").alias("side")))
+    return seen.groupBy("frame_id").agg(F.min("side").alias("side"), F.max("side").alias("_other")).where("side = _other").drop("_other")

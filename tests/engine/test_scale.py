@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clipflow.operators import points
+from clipflow.operators import joins, points
 
 
 def test_boxes_are_in_few_cells(spark):
@@ -13,3 +13,10 @@ def test_boxes_are_in_few_cells(spark):
     plan = points.counted(d, p)
     assert {(r.det_idx, r.n_points) for r in plan.collect()} == {(r.det_idx, r["count"]) for r in met.collect()}
     assert f"/ {points.WIDE}" in plan._jdf.queryExecution().toString()
+
+
+def test_sides_without_exceptall(spark):
+    d = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b"), (3, "b"), (None, "a")], "frame_id int, s string")
+    out = joins.frame_difference(d.where("s = 'a'"), d.where("s = 'b'"))
+    assert {tuple(r) for r in out.collect()} == {(1, "left"), (3, "right"), (None, "left")}
+    assert "ReplicateRows" not in out._jdf.queryExecution().optimizedPlan().toString() and "Except" not in out._jdf.queryExecution().analyzed().toString()
