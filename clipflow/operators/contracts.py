@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -26,9 +27,13 @@ def repeated_keys(d: DataFrame, *keys: str) -> DataFrame:
 
 
 def forbidden_changes(before: DataFrame, after: DataFrame, key: str, allowed: dict[str, tuple[str, ...]], class_column: str = "class_name") -> DataFrame:
-    """(key, class, changed): the columns that changed though the row's class doesn't allow them to; rows of other classes may change nothing."""
+    """(key, class, changed): the columns that changed though the row's class doesn't allow them to; rows of other classes may change nothing.
+
+    Rows that share a key are told apart by the order of their class and values.
+    """
     names = [c for c in before.columns if c not in (key, class_column)]
-    b = before.alias("b").join(after.alias("a"), key)
+    nth = F.row_number().over(W.partitionBy(key).orderBy(class_column, *names))
+    b = before.withColumn("_nth", nth).alias("b").join(after.withColumn("_nth", nth).alias("a"), [key, "_nth"])
     differs = [F.when(~F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")), F.lit(c)) for c in names]
     own = F.col(f"b.{class_column}")
     free = reduce(lambda rest, kv: F.when(own == kv[0], F.array(*map(F.lit, kv[1]))).otherwise(rest), allowed.items(), F.array().cast("array<string>"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clipflow.operators import joins, points
+from clipflow.operators import contracts, joins, points
 
 
 def test_boxes_are_in_few_cells(spark):
@@ -20,3 +20,10 @@ def test_sides_without_exceptall(spark):
     out = joins.frame_difference(d.where("s = 'a'"), d.where("s = 'b'"))
     assert {tuple(r) for r in out.collect()} == {(1, "left"), (3, "right"), (None, "left")}
     assert "ReplicateRows" not in out._jdf.queryExecution().optimizedPlan().toString() and "Except" not in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_rows_that_share_a_key(spark):
+    b = spark.createDataFrame([(1, "Car", 1.0, 0.5), (1, "Car", 3.0, 0.1), (2, "Bus", 1.0, 1.0), (2, "Bus", 2.0, 1.0)], "k int, class_name string, dz double, yaw double")
+    assert contracts.forbidden_changes(b, b, "k", {}).count() == 0
+    a = b.withColumn("yaw", F.when(F.col("k") == 1, F.col("yaw") + 1).otherwise(F.col("yaw")))
+    assert [tuple(r) for r in contracts.forbidden_changes(b, a, "k", {"Car": ("dz",)}).collect()] == [(1, "Car", "yaw")] * 2
