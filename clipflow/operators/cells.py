@@ -82,13 +82,25 @@ def contained(d: DataFrame, cells: DataFrame, size: float) -> DataFrame:
 
 
 def share_near(d: DataFrame, places: DataFrame, radius: float) -> DataFrame:
-    """(track_id, share): the part of a track's rows within the radius of any place (x, y); each row meets the places of its own and the next cells."""
+    """(track_id, share): the part of a track's rows within the radius of any place (x, y).
+
+    Places are copied to the cells about their own.  A row looks at them, up to
+    the first one near, only if the bounds of some cell's places are near it.
+    """
     p = places.select(F.col("x").alias("_px"), F.col("y").alias("_py")).distinct()
     p = p.withColumn("_cx", cell(F.col("_px"), radius)).withColumn("_cy", cell(F.col("_py"), radius))
     near = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    copied = lambda q: q.withColumn("_s", F.explode(F.array(*near))).withColumns({"_cx": F.col("_cx") + F.col("_s.i"), "_cy": F.col("_cy") + F.col("_s.j")}).drop("_s")
+    bounds_of = p.groupBy("_cx", "_cy").agg(F.struct(*(f(c).alias(f"{c}{n}") for c in ("_px", "_py") for n, f in (("0", F.min), ("1", F.max)))).alias("_b"))
+    about = copied(bounds_of).groupBy("_cx", "_cy").agg(F.collect_list("_b").alias("_bs"))
+    off = lambda b, k: F.greatest(b[f"_p{k}0"] - F.col(k), F.col(k) - b[f"_p{k}1"], F.lit(0.0))
     rows = d.select("track_id", "event_id", "x", "y")
-    e = rows.withColumn("_s", F.explode(F.array(*near))).withColumn("_cx", cell(F.col("x"), radius) + F.col("_s.i")).withColumn("_cy", cell(F.col("y"), radius) + F.col("_s.j"))
-    hit = e.join(p, ["_cx", "_cy"]).where(F.hypot(F.col("x") - F.col("_px"), F.col("y") - F.col("_py")) <= radius).select("event_id").distinct().withColumn("_hit", F.lit(1))
+    asked = rows.withColumns({"_cx": cell(F.col("x"), radius), "_cy": cell(F.col("y"), radius)}).join(about, ["_cx", "_cy"])
+    asked = asked.where(F.exists("_bs", lambda b: (off(b, "x") <= radius) & (off(b, "y") <= radius))).select("event_id", "x", "y", "_cx", "_cy").alias("r")
+    q = copied(p).alias("q")
+    x, y = F.col("r.x") - F.col("q._px"), F.col("r.y") - F.col("q._py")
+    meet = (F.col("r._cx") == F.col("q._cx")) & (F.col("r._cy") == F.col("q._cy")) & (F.sqrt(x * x + y * y) <= radius)
+    hit = asked.join(q.hint("merge"), meet, "left_semi").select("event_id").distinct().withColumn("_hit", F.lit(1))
     return rows.join(hit, "event_id", "left").groupBy("track_id").agg(F.avg(F.coalesce("_hit", F.lit(0))).alias("share"))
 
 

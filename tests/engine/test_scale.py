@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clipflow.operators import contracts, joins, points
+from clipflow.operators import cells, contracts, joins, points
 
 
 def test_boxes_are_in_few_cells(spark):
@@ -27,3 +27,13 @@ def test_rows_that_share_a_key(spark):
     assert contracts.forbidden_changes(b, b, "k", {}).count() == 0
     a = b.withColumn("yaw", F.when(F.col("k") == 1, F.col("yaw") + 1).otherwise(F.col("yaw")))
     assert [tuple(r) for r in contracts.forbidden_changes(b, a, "k", {"Car": ("dz",)}).collect()] == [(1, "Car", "yaw")] * 2
+
+
+def test_share_near_looks_at_near_cells_only(spark):
+    d = spark.createDataFrame([(k % 7, k, (k * 37 % 101) / 7.0, (k * 53 % 97) / 5.0) for k in range(400)], "track_id long, event_id long, x double, y double")
+    places = d.where("event_id % 9 = 0").unionByName(d.where("event_id = 0"))
+    near = d.alias("a").crossJoin(places.select("x", "y").distinct().alias("b")).where("sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 0.8").select("a.event_id").distinct()
+    want = d.join(near.withColumn("h", F.lit(1)), "event_id", "left").groupBy("track_id").agg(F.avg(F.coalesce("h", F.lit(0))).alias("share"))
+    got = cells.share_near(d, places, 0.8)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
