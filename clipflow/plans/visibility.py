@@ -48,10 +48,15 @@ def _cameras(spark):
     return spark.createDataFrame([(0, n, p, list(t), list(k), list(d), w, h) for n, p, t, k, d, w, h in CAMERAS], "clip int, camera string, place int, t array<double>, k array<double>, d array<double>, width int, height int")
 
 
+def _id():
+    """The id to three places, halves of the product away from zero as in the SQL (Spark rounds the shortest decimal)."""
+    return (F.signum("id") * F.floor(F.abs(F.col("id") * 1000) + 0.5) / 1000).alias("id")
+
+
 @query("camera_shares", f"WITH {_SHARES} SELECT frame_id, {r('id', 3)}, camera, {r('ratio')}, {r('occluded')}, {r('truncated')} FROM e")
 def camera_shares(spark, sf):
     e = visibility.in_cameras(_boxes(spark, sf), _cameras(spark), ("clip",), ("frame_id", "id"), STEP)
-    return rounded(e.select("frame_id", F.round("id", 3).alias("id"), "camera", "ratio", "occluded", "truncated"))
+    return rounded(e.select("frame_id", _id(), "camera", "ratio", "occluded", "truncated"))
 
 
 _POINTS = "pt AS (SELECT frame_id, x + k * 0.7 AS px, y + k * 0.4 AS py, z + k * 0.45 AS pz FROM box, (VALUES (-1), (0), (1)) AS ks(k))"
@@ -65,4 +70,4 @@ SELECT frame_id, {r('id', 3)}, CASE WHEN share >= 0.5 THEN 1 ELSE 2 END AS tag,
 def camera_visible(spark, sf):
     points = cloud(spark, sf).withColumn("clip", F.lit(0))
     d = visibility.finally_visible(_boxes(spark, sf), _cameras(spark), ("clip",), ("frame_id", "id"), 0.05, points=points, step=STEP)
-    return rounded(d.select("frame_id", F.round("id", 3).alias("id"), "tag", "ratio", "occluded", "truncated", "best_cam"))
+    return rounded(d.select("frame_id", _id(), "tag", "ratio", "occluded", "truncated", "best_cam"))

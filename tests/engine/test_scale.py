@@ -1,8 +1,11 @@
 """Work that grows with the input, and rows that share a key."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from clipflow.operators import cells, contracts, joins, points
+from clipflow.operators import cells, contracts, joins, points, visibility
+from clipflow.plans.visibility import _id
 
 
 def test_boxes_are_in_few_cells(spark):
@@ -37,3 +40,35 @@ def test_share_near_looks_at_near_cells_only(spark):
     got = cells.share_near(d, places, 0.8)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
     assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pixels_are_no_rows(spark):
+    d = spark.createDataFrame([(0, 1, k % 4, 2.0 * k, 9.0 + k, 0.0, 3.0, 2.0, 1.5, 0.2 * k) for k in range(8)], "clip int, frame_id long, det int, x double, y double, z double, dx double, dy double, dz double, yaw double")
+    cameras = spark.createDataFrame([(0, "front", 0, [1.0, 0.0, 0.0, 0.2, 0.0, 0.0, -1.0, 1.0, 0.0, 1.0, 0.0, 2.0], [50.0, 40.0, 50.0, 30.0], [0.02, -0.01, 0.0, 0.0], 80, 60)], "clip int, camera string, place int, t array<double>, k array<double>, d array<double>, width int, height int")
+    e = visibility.in_cameras(d, cameras, ("clip",), ("frame_id", "det"), 2)
+    assert "Generate" not in e._jdf.queryExecution().optimizedPlan().toString()
+    got = e.collect()
+    assert all(abs(r.ratio + r.occluded + r.truncated - 1) < 1e-9 for r in got) and len(got) == 8 and len({tuple(r) for r in got}) == 4  # boxes of one key count as one
+
+
+def test_images_beyond_what_is_held(monkeypatch):
+    r = np.random.default_rng(4)
+    n = 60
+    b = {k: r.uniform(*e, n) for k, e in {"x": (-6, 6), "y": (4, 20), "z": (-1, 1), "dx": (1, 5), "dy": (1, 3), "dz": (1, 2), "yaw": (0, 6)}.items()}
+    b |= {k: np.full(n, v) for k, v in zip(visibility._T + visibility._K + visibility._D + ["width", "height"], [1, 0, 0, 0, 0, 0, -1, 1, 0, 1, 0, 2, 50, 40, 50, 30, 0.02, -0.01, 0, 0, 80, 60], strict=True)}
+    image = np.repeat(np.arange(6), 10)
+    want = visibility.shares(b, image, 1, 0.3)
+    monkeypatch.setattr(visibility, "HELD", 500)
+    assert all((p == q).all() for p, q in zip(visibility.shares(b, image, 1, 0.3), want, strict=True)) and want[3].sum() > 0
+
+
+def test_frames_stay_whole():
+    d = pd.DataFrame({"f": [1, 1, 2, 2, 2, 2, 3, 4, 4, 4], "i": range(10)})
+    out = list(visibility._whole_frames((d[i : i + 3] for i in range(0, 10, 3)), ["f"]))
+    assert [list(o.f.unique()) for o in out] and list(pd.concat(out).i) == list(range(10))
+    assert sum(o.f.nunique() for o in out) == 4
+
+
+def test_ids_are_rounded_as_by_the_sql(spark):
+    d = spark.createDataFrame([(56264.5 / 1000 - 30,), (-9.1635,), (1.0,)], "id double")
+    assert [r.id for r in d.select(_id()).collect()][0] == 26.265
