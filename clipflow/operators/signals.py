@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clipflow.operators.aggregates import along
-from clipflow.operators.groups import leaders
+from clipflow.operators.groups import durable, leaders
 from clipflow.operators.stitching import once_each
 
+#: How many undecided tracks look for leaders among themselves at first.
+HEAD = 512
+
 
 def projected(obs: DataFrame, heading: float, width_us: int) -> DataFrame:
     """obs with bin, ahead, aside and speed: place and speed along a heading; a track's first speed is its second one."""
@@ -138,21 +141,41 @@ def directions(tracks: DataFrame, by: tuple[str, ...], tolerance: float, gate: f
     """(id, leader): the direction of travel of each track (*by, id, place, heading, x, y), named by the track that leads it.
 
     Tracks go by their place; one that no leader before it has within the
-    tolerance of its heading and the gate aside of its line leads.  Tracks meet
-    in sectors of heading of one `by`.
+    tolerance of its heading and the gate aside of its line leads.  The first
+    undecided tracks of each `by` find the leaders among themselves, which then
+    decide all tracks that they cover, and so on with more of them at a time; so
+    tracks meet leaders, in sectors of heading, rather than each other.
     """
     from clipflow.functions.angles import turn
 
     sectors = max(1, int(2 * math.pi / tolerance))
     sector = F.pmod(F.floor(F.pmod("heading", F.lit(2 * math.pi)) / (2 * math.pi / sectors)), F.lit(sectors))
-    a = tracks.withColumn("_s", F.explode(F.array_distinct(F.array(*(F.pmod(sector + k, F.lit(sectors)) for k in (-1, 0, 1)))))).alias("a")
-    b = tracks.withColumn("_s", sector).alias("b")
-    met = (F.col("a._s") == F.col("b._s")) & (F.col("a.place") < F.col("b.place"))
-    for k in by:
-        met = met & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    aside = (F.col("b.x") - F.col("a.x")) * F.sin("a.heading") - (F.col("b.y") - F.col("a.y")) * F.cos("a.heading")
-    near = (turn(F.col("a.heading"), F.col("b.heading")) <= tolerance) & (F.abs(aside) <= gate)
-    return leaders(tracks.select("id", "place"), a.join(b, met & near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+
+    def met(ahead: DataFrame, behind: DataFrame, how: str = "inner") -> DataFrame:
+        a = ahead.withColumn("_s", F.explode(F.array_distinct(F.array(*(F.pmod(sector + k, F.lit(sectors)) for k in (-1, 0, 1)))))).alias("a")
+        b = behind.withColumn("_s", sector).alias("b")
+        on = (F.col("a._s") == F.col("b._s")) & (F.col("a.place") < F.col("b.place"))
+        for k in by:
+            on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+        aside = (F.col("b.x") - F.col("a.x")) * F.sin("a.heading") - (F.col("b.y") - F.col("a.y")) * F.cos("a.heading")
+        on = on & (turn(F.col("a.heading"), F.col("b.heading")) <= tolerance) & (F.abs(aside) <= gate)
+        return b.join(a, on, "left_anti").drop("_s") if how == "left_anti" else a.join(b, on, how)
+
+    tracks = durable(tracks.select(*by, "id", "place", "heading", "x", "y"))
+    left, size, found = tracks, HEAD, []
+    while not left.isEmpty():
+        nth = F.row_number().over(W.partitionBy(*by).orderBy("place", "id"))
+        head = durable(left.withColumn("_nth", nth).where(F.col("_nth") <= size).drop("_nth"))
+        own = leaders(head.select("id", "place"), met(head, head).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))).where("id = leader").select("id")
+        lead = durable(head.join(own, "id", "left_semi").select(head.columns))
+        found.append(lead)
+        rest = left.join(head.select("id"), "id", "left_anti").select(left.columns)
+        left, size = durable(met(lead, rest, "left_anti")), 2 * size
+    lead = tracks.where("false")
+    for part in found:
+        lead = lead.union(part)
+    follow = met(lead, tracks.join(lead.select("id"), "id", "left_anti").select(tracks.columns)).groupBy(F.col("b.id").alias("id")).agg(F.min_by("a.id", F.struct("a.place", "a.id")).alias("leader"))
+    return lead.select("id", F.col("id").alias("leader")).union(follow)
 
 
 def lanes(tracks: DataFrame, least: int, width: float) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from clipflow.operators import cells, contracts, joins, points, visibility
+from clipflow.operators import cells, contracts, joins, points, signals, visibility
 from clipflow.plans.visibility import _id
 
 
@@ -72,3 +72,20 @@ def test_frames_stay_whole():
 def test_ids_are_rounded_as_by_the_sql(spark):
     d = spark.createDataFrame([(56264.5 / 1000 - 30,), (-9.1635,), (1.0,)], "id double")
     assert [r.id for r in d.select(_id()).collect()][0] == 26.265
+
+
+def test_directions_over_several_heads(spark, monkeypatch):
+    rows = [(k % 2, k, k, round((k * 0.731) % 6.28 - 3.14, 3), (k * 37 % 101) / 2.0, (k * 53 % 97) / 2.0) for k in range(120)]
+    tracks = spark.createDataFrame(rows, "clip int, id long, place long, heading double, x double, y double")
+    seen = []
+    monkeypatch.setattr(signals, "HEAD", 4)
+    monkeypatch.setattr(signals, "leaders", lambda nodes, covers, own=signals.leaders: (seen.append(nodes.count()), own(nodes, covers))[1])
+    got = {r.id: r.leader for r in signals.directions(tracks, ("clip",), 0.6, 8.0).collect()}
+    turned = lambda a, b: abs((a - b + np.pi) % (2 * np.pi) - np.pi)
+    lead, want = [], {}
+    for c, i, _, h, x, y in rows:
+        want[i] = next((j for d, j, _, g, u, v in lead if d == c and turned(g, h) <= 0.6 and abs((x - u) * np.sin(g) - (y - v) * np.cos(g)) <= 8), i)
+        if want[i] == i:
+            lead.append((c, i, i, h, x, y))
+    assert got == want
+    assert seen[0] == 8 and len(seen) > 1  # leaders are sought among the first few, not among all
