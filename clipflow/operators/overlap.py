@@ -29,7 +29,15 @@ def _shape(x, y, dx, dy, yaw) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     half = np.maximum(np.stack([dx, dy], axis=1) / 2, LEAST_HALF)
     c, s = np.cos(yaw), np.sin(yaw)
     axes = np.stack([np.stack([c, s], axis=1), np.stack([-s, c], axis=1)], axis=1)
-    return np.stack([x, y], axis=1)[:, None] + (_CORNERS * half[:, None]) @ axes, half, axes
+    # rounded in the order that the SQL has, so that boxes of exactly a threshold's share fall on its side
+    u, v = (_CORNERS[:, i] * half[:, i, None] for i in range(2))
+    c, s = c[:, None], s[:, None]
+    return np.stack([np.asarray(x)[:, None] + u * c - v * s, np.asarray(y)[:, None] + u * s + v * c], axis=2), half, axes
+
+
+def _in_turn(terms: np.ndarray) -> np.ndarray:
+    """Sums along the second axis, one term after the other."""
+    return np.cumsum(terms, axis=1)[:, -1]
 
 
 def common_area(p: tuple, q: tuple) -> np.ndarray:
@@ -47,12 +55,12 @@ def common_area(p: tuple, q: tuple) -> np.ndarray:
     points = np.concatenate([a, b, at.reshape(len(a), 16, 2)], axis=1)
     real = np.concatenate([within(a, b, half_b, axes_b), within(b, a, half_a, axes_a), meets.reshape(len(a), 16)], axis=1)
     n = np.maximum(real.sum(axis=1), 1)[:, None]
-    middle = np.where(real[..., None], points, 0.0).sum(axis=1) / n
+    middle = _in_turn(np.where(real[..., None], points, 0.0)) / n
     away = points - middle[:, None]
     order = np.argsort(np.where(real, np.arctan2(away[..., 1], away[..., 0]), np.inf), axis=1)
     ring = np.take_along_axis(away, order[..., None], axis=1)
     ring = np.where(np.take_along_axis(real, order, axis=1)[..., None], ring, ring[:, :1])
-    area = np.abs(cross(ring, np.roll(ring, -1, axis=1)).sum(axis=1)) / 2
+    area = np.abs(_in_turn(cross(ring, np.roll(ring, -1, axis=1)))) / 2
     return np.where(real.sum(axis=1) >= 3, area, 0.0)
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from clipflow.operators import cells, contracts, joins, points, signals, visibility
+from clipflow.operators import cells, contracts, joins, overlap, points, signals, visibility
 from clipflow.plans.visibility import _id
 
 
@@ -89,3 +89,19 @@ def test_directions_over_several_heads(spark, monkeypatch):
             lead.append((c, i, i, h, x, y))
     assert got == want
     assert seen[0] == 8 and len(seen) > 1  # leaders are sought among the first few, not among all
+
+
+def test_halves_fall_where_the_sql_has_them():
+    """The common area of a box within another, rounded term by term as the SQL does."""
+    r = np.random.default_rng(7)
+    n = 500
+    x, y, dx = r.integers(-22, -16, n) + 0.0, np.round(r.uniform(-10, 50, n), 5), np.round(r.integers(2, 7, n) / 5 + 1, 6)
+    inner = (x, y, dx, np.full(n, 1.2), np.full(n, 0.3))
+    outer = (x, y + np.round(r.uniform(-0.1, 0.1, n), 5), dx * 3, np.full(n, 4.0), np.full(n, 2.1))
+    got = overlap.common_area(inner, outer)
+    for k in range(n):
+        a, b, w, h, c, s = x[k], y[k], dx[k] / 2, 0.6, np.cos(0.3), np.sin(0.3)
+        p = [(a + i * w * c - j * h * s, b + i * w * s + j * h * c) for i, j in ((1, 1), (-1, 1), (-1, -1), (1, -1))]
+        mx, my = sum(u for u, _ in p) / 4, sum(v for _, v in p) / 4
+        p = sorted(((u - mx, v - my) for u, v in p), key=lambda q: np.arctan2(q[1], q[0]))
+        assert got[k] == abs(sum(u * q - v * o for (u, v), (o, q) in zip(p, p[1:] + p[:1], strict=True))) / 2
