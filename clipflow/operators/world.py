@@ -12,20 +12,30 @@ from clipflow.operators.groups import durable
 _POSE = ("px", "py", "pz", "qx", "qy", "qz", "qw")
 
 
+#: Length of the bins of time in which times meet poses.
+BIN_US = 60_000_000
+
+
 def posed(stamps: DataFrame, poses: DataFrame, by: str, most_gap_us: int, sensor: tuple[tuple[float, ...], ...] | None = None) -> DataFrame:
     """stamps with the pose of their time: places blended, rotations along the shorter arc.
 
     Beyond the ends the nearest pose stands, and in a gap longer than the limit
     the nearer one (the earlier of equally near ones).  Each time of a `by` is
-    posed once.  `sensor` is a fixed rotation and place (3 rows of 4) of the
+    posed once, in the partition of its bin of time.  `sensor` is a fixed rotation and place (3 rows of 4) of the
     sensor in the posed frame; without it they are the same.
     """
     times = stamps.select(by, "t_us").distinct()
     marks = times.select("*", F.lit(1).alias("_side")).unionByName(poses.select(by, "t_us", *_POSE, F.lit(0).alias("_side")), allowMissingColumns=True)
+    marks = marks.withColumn("_bin", F.floor(F.col("t_us") / BIN_US))
     pose = F.when(F.col("_side") == 0, F.struct("t_us", *_POSE))
-    order = W.partitionBy(by).orderBy("t_us", "_side")
-    back = W.partitionBy(by).orderBy(F.desc("t_us"), F.desc("_side"))
-    b = marks.withColumn("_a", F.last(pose, True).over(order)).withColumn("_b", F.last(pose, True).over(back)).where("_side = 1").where("_a IS NOT NULL OR _b IS NOT NULL")
+    # a bin's own poses, and the last one of the bins before and the first of those after
+    ends = marks.groupBy(by, "_bin").agg(F.min(pose).alias("_first"), F.max(pose).alias("_last"))
+    others = lambda order: W.partitionBy(by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.select(by, "_bin", F.last("_last", True).over(others("_bin")).alias("_before"), F.last("_first", True).over(others(F.desc("_bin"))).alias("_after"))
+    order = W.partitionBy(by, "_bin").orderBy("t_us", "_side")
+    back = W.partitionBy(by, "_bin").orderBy(F.desc("t_us"), F.desc("_side"))
+    b = marks.join(ends, [by, "_bin"]).withColumn("_a", F.coalesce(F.last(pose, True).over(order), "_before")).withColumn("_b", F.coalesce(F.last(pose, True).over(back), "_after"))
+    b = b.where("_side = 1").where("_a IS NOT NULL OR _b IS NOT NULL")
     b = b.withColumn("_a", F.coalesce("_a", "_b")).withColumn("_b", F.coalesce("_b", "_a"))
     gap, into = F.col("_b.t_us") - F.col("_a.t_us"), F.col("t_us") - F.col("_a.t_us")
     alpha = F.when(gap <= 0, 0.0).when(gap > most_gap_us, F.when(2 * into <= gap, 0.0).otherwise(1.0)).otherwise(into / gap)

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from clipflow.operators import cells, contracts, joins, overlap, points, signals, visibility
+from clipflow.operators import cells, contracts, joins, overlap, points, signals, visibility, world
 from clipflow.plans.visibility import _id
 
 
@@ -105,3 +105,12 @@ def test_halves_fall_where_the_sql_has_them():
         mx, my = sum(u for u, _ in p) / 4, sum(v for _, v in p) / 4
         p = sorted(((u - mx, v - my) for u, v in p), key=lambda q: np.arctan2(q[1], q[0]))
         assert got[k] == abs(sum(u * q - v * o for (u, v), (o, q) in zip(p, p[1:] + p[:1], strict=True))) / 2
+
+def test_poses_across_bins(spark):
+    bins = world.BIN_US
+    at = [0, 10, bins - 1, 5 * bins, 5 * bins + 7]
+    poses = spark.createDataFrame([("c", t, float(i), 0.0, 0.0, 0.0, 0.0, 0.0, 1.0) for i, t in enumerate(at)], "clip string, t_us long, px double, py double, pz double, qx double, qy double, qz double, qw double")
+    times = [-bins, 5, bins, 3 * bins, 5 * bins + 7, 9 * bins]
+    d = world.posed(spark.createDataFrame([("c", t) for t in times], "clip string, t_us long"), poses, "clip", 100 * bins)
+    want = np.interp(times, at, range(len(at)))
+    assert np.allclose([r.px for r in d.orderBy("t_us").collect()], want)
