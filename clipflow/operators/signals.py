@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -122,19 +123,41 @@ def turn_features(obs: DataFrame, least_step: float) -> DataFrame:
     return f.select("track_id", wrap(F.col("_h1") - F.col("_h0")).alias("net_turn"), "cumulative", (dy * F.cos("_h0") - dx * F.sin("_h0")).alias("offset"), "changes")
 
 
+#: Pairs that a direction may have in the first, narrowest round of tolerances; each further round is so many times wider.
+FEW, WIDER = 8, 8
+
+
 def axis_pairs(directions: DataFrame, tolerance: float) -> DataFrame:
-    """(a, b, apart): directions (id, heading) and their opposites within the tolerance, each in one pair: from the best pair on, of as good ones the lesser ids."""
+    """(a, b, apart): directions (id, heading) and their opposites within the tolerance, each in one pair: from the best pair on, of as good ones the lesser ids.
+
+    The narrowest pairs come first: those of a tolerance that gives each
+    direction a few are made and chosen, and only what they leave meets in a
+    wider one, since pairs further apart can't come before.
+    """
+    left = durable(directions.select("id", "heading").where("heading IS NOT NULL"))
+    within, out = min(tolerance, FEW * math.pi / max(left.count(), 1)), []
+    while True:
+        best = durable(once_each(_opposite(left, within)))
+        out.append(best)
+        if within >= tolerance:
+            return reduce(DataFrame.union, out).withColumnRenamed("score", "apart")
+        gone = best.select(F.explode(F.array("a", "b")).alias("id"))
+        left, within = durable(left.join(gone, "id", "left_anti")), min(tolerance, WIDER * within)
+
+
+def _opposite(directions: DataFrame, tolerance: float) -> DataFrame:
+    """(a, b, score): each two directions whose headings are opposite within the tolerance, a < b, and how much they are off, to six places."""
     from clipflow.functions.angles import turn, wrap
 
-    # a direction meets those whose heading, turned about, lies in its own or a neighbouring sector
-    sectors = max(1, int(2 * math.pi / max(tolerance, 0.05)))
+    # a direction meets those whose heading, turned about, lies in its own or a neighbouring sector; sectors are wide enough for rounding
+    sectors = max(1, int(2 * math.pi / max(tolerance + 1e-6, 1e-5)))
     width = 2 * math.pi / sectors
     sector = lambda h: F.pmod(F.floor(F.pmod(h, F.lit(2 * math.pi)) / width), F.lit(sectors))
     around = F.array_distinct(F.array(*(F.pmod(sector(F.col("heading")) + k, F.lit(sectors)) for k in (-1, 0, 1))))
     p = directions.select(F.col("id").alias("a"), F.col("heading").alias("_ha"), F.explode(around).alias("_s"))
     q = directions.select(F.col("id").alias("b"), F.col("heading").alias("_hb"), sector(wrap(F.col("heading") + math.pi)).alias("_s"))
-    pairs = p.join(q, "_s").where("a < b").withColumn("apart", F.round(turn(F.col("_ha"), F.col("_hb") + math.pi), 6)).where(F.col("apart") <= tolerance).select("a", "b", "apart").distinct()
-    return once_each(pairs.withColumnRenamed("apart", "score")).withColumnRenamed("score", "apart")
+    pairs = p.join(q, "_s").where("a < b").withColumn("score", F.round(turn(F.col("_ha"), F.col("_hb") + math.pi), 6)).where(F.col("score") <= tolerance)
+    return pairs.select("a", "b", "score").distinct()
 
 
 def directions(tracks: DataFrame, by: tuple[str, ...], tolerance: float, gate: float) -> DataFrame:

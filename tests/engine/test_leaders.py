@@ -135,3 +135,21 @@ def test_suppressed_over_several_heads(spark, monkeypatch):
             kept.append((k, x, y))
     assert got == want
     assert seen[0] == 4 and len(seen) > 1  # kept ones are sought among the first few, not among all
+
+
+def test_axis_pairs_by_tolerances(spark, monkeypatch):
+    r = random.Random(5)
+    rows = [(k, round(r.choice((0.3, -2.8)) + r.gauss(0, 0.3), 6)) for k in range(120)]
+    off = lambda g, h: round(abs((g - h - math.pi + math.pi) % (2 * math.pi) - math.pi), 6)
+    pairs = sorted((off(g, h), a, b) for a, g in rows for b, h in rows if a < b and off(g, h) <= 0.4)
+    used, want = set(), []
+    for apart, a, b in pairs:
+        if not {a, b} & used:
+            used |= {a, b}
+            want.append((a, b))
+    sizes = []
+    monkeypatch.setattr(signals, "once_each", lambda p, own=signals.once_each: (sizes.append(p.count()), own(p))[1])
+    monkeypatch.setattr(signals, "FEW", 0.5)
+    got = signals.axis_pairs(spark.createDataFrame(rows, "id long, heading double"), 0.4)
+    assert sorted((x.a, x.b) for x in got.collect()) == sorted(want)
+    assert sum(sizes) < len(pairs)  # pairs that can't be chosen any more are never made
