@@ -1,10 +1,10 @@
 """Ground, roof and sides of boxes from the points about them.
 
-Points meet boxes by frame and cell; after that everything of a box is in one
-partition, where windows over the box's own points give percentiles, histograms
-and sums of squares without another shuffle.  A box's points are those within a
-metre or so of it; clouds are never gathered.  keys name a box, the first
-`shared` of them are the points' too (a frame, or a clip and a frame).
+For grounds and roofs, boxes and points are dealt by frame, and kernels of arrays
+take whole frames.  For sides, points meet boxes by frame and cell; after that
+everything of a box is in one partition, where windows over the box's own points
+give percentiles without another shuffle.  keys name a box, the first `shared`
+of them are the points' too (a frame, or a clip and a frame).
 """
 
 from __future__ import annotations
@@ -12,14 +12,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clipflow.operators import ragged
 from clipflow.operators.points import local, near_points
 
 Columns = tuple[str, ...]
-BOX = ("x", "y", "z", "dx", "dy", "dz", "yaw")
+BOX = ragged.BOX
 
 
 def about(d: DataFrame, points: DataFrame, keys: Columns, shared: int, margin: float, extra: Columns = ()) -> DataFrame:
@@ -45,21 +47,47 @@ class Ground:
 BIN, ABOUT, TRIM, PLANE, ROUNDS = 0.06, 0.12, 0.07, 8, 3
 
 
-def _plane_sums(kept: Column, w) -> dict[str, Column]:
-    u, v, z = F.col("px") - F.col("x"), F.col("py") - F.col("y"), F.col("pz") - F.col("z")
-    terms = {"n": F.lit(1.0), "u": u, "v": v, "z": z, "uu": u * u, "uv": u * v, "vv": v * v, "uz": u * z, "vz": v * z}
-    return {f"s_{k}": F.sum(F.when(kept, c)).over(w) for k, c in terms.items()}
-
-
-def _plane() -> dict[str, Column]:
-    """Slopes along both axes and the height at the box's centre that fit the sums least squares; null where points lie on a line."""
-    s = {k: F.col(f"s_{k}") for k in ("n", "u", "v", "z", "uu", "uv", "vv", "uz", "vz")}
-    uu, uv, vv = (s[a + b] - s[a] * s[b] / s["n"] for a, b in ("uu", "uv", "vv"))
-    uz, vz = (s[a + "z"] - s[a] * s["z"] / s["n"] for a in "uv")
-    det = uu * vv - uv * uv
-    a, b = (uz * vv - vz * uv) / det, (vz * uu - uz * uv) / det
-    fits = (s["n"] >= PLANE) & (det > 1e-9 * uu * vv)
-    return {"a": F.when(fits, a), "b": F.when(fits, b), "c": F.when(fits, (s["z"] - a * s["u"] - b * s["v"]) / s["n"])}
+def _planes(u: np.ndarray, v: np.ndarray, q: np.ndarray, keep: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Slopes along both axes and the height at the centre that fit each row's kept points least squares; nan where they lie on a line."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        k = {"u": np.where(keep, u, 0.0), "v": np.where(keep, v, 0.0), "z": np.where(keep, q, 0.0)}
+        s = {a: c.sum(axis=1) for a, c in k.items()}
+        uu, uv, vv, uz, vz = (np.einsum("ij,ij->i", k[a], k[b]) - s[a] * s[b] / n for a, b in ("uu", "uv", "vv", "uz", "vz"))
+        det = uu * vv - uv * uv
+        fits = (n >= PLANE) & (det > 1e-9 * uu * vv)
+        a, b = np.where(fits, (uz * vv - vz * uv) / det, np.nan), np.where(fits, (vz * uu - uz * uv) / det, np.nan)
+        return a, b, (s["z"] - a * s["u"] - b * s["v"]) / n
+
+
+def _trimmed(z: np.ndarray, dz: np.ndarray, u: np.ndarray, v: np.ndarray, h: np.ndarray, real: np.ndarray, config: Ground) -> tuple[np.ndarray, np.ndarray]:
+    """The ground (nan where there is none) and the number of its points, -1 where too few tell it, for boxes whose rings' real points are the rows of u, v and h."""
+    n = real.sum(axis=1)
+    ordered = np.sort(np.where(real, h, np.inf), axis=1)
+    low, high = ordered[:, :1], ragged.percentile(ordered, n, 0.7)[:, None]
+    under = real & (h <= high)
+    bins = np.where(under, np.floor((h - low) / BIN), 0).astype(np.int64)
+    wide = int(bins.max()) + 1
+    full = np.bincount((np.arange(len(n))[:, None] * wide + bins)[under], minlength=len(n) * wide).reshape(-1, wide)
+    middle = low + (full.argmax(axis=1) + 0.5)[:, None] * BIN
+    real = real & ((high - low < 0.04) | (np.abs(h - middle) <= ABOUT))
+    told = real.sum(axis=1) >= max(10, config.least // 2)
+    q, keep = h - z[:, None], real
+    a, b, c = (np.full(len(n), np.nan) for _ in range(3))
+    for _ in range(ROUNDS):
+        kept = keep.sum(axis=1)
+        # with too few points left, the plane and the points of the round before stay
+        more = kept >= PLANE
+        a, b, c = (np.where(more, new, old) for new, old in zip(_planes(u, v, q, keep, kept), (a, b, c), strict=True))
+        off = q - a[:, None] * u - b[:, None] * v - c[:, None]
+        median = lambda x: ragged.percentile(np.sort(np.where(keep, x, np.inf), axis=1), kept, 0.5)  # noqa: B023, E731
+        with np.errstate(invalid="ignore"):
+            off -= median(off)[:, None]
+            np.abs(off, out=off)
+            keep = np.where(more[:, None], real & (off <= np.maximum(TRIM, 3 * 1.4826 * median(off))[:, None]), keep)
+    kept = keep.sum(axis=1)
+    with np.errstate(invalid="ignore"):
+        good = (kept >= PLANE) & (np.hypot(a, b) <= config.slope) & (np.abs(c + dz / 2) <= config.below)
+    return np.where(good & told, z + c, np.nan), np.where(told, kept, -1)
 
 
 def grounds(d: DataFrame, points: DataFrame, keys: Columns, shared: int = 1, config: Ground = Ground()) -> DataFrame:
@@ -71,34 +99,25 @@ def grounds(d: DataFrame, points: DataFrame, keys: Columns, shared: int = 1, con
     beyond three median deviations.  Steep planes and those far from the box's
     bottom don't count, nor do points that lie on a line.
     """
-    near = about(d, points, keys, shared, config.outer)
-    inside = (F.abs("along") <= F.col("dx") / 2 + config.inner) & (F.abs("across") <= F.col("dy") / 2 + config.inner)
-    bottom = F.col("z") - F.col("dz") / 2
-    ring = near.where(~inside & F.col("pz").between(bottom - config.below, bottom + config.above))
-    box = W.partitionBy(*keys)
-    r = ring.withColumns({"_n": F.count("*").over(box), "_low": F.min("pz").over(box), "_high": F.percentile("pz", F.lit(0.7)).over(box)}).where(F.col("_n") >= config.least)
-    r = r.withColumn("_bin", F.when(F.col("pz") <= F.col("_high"), F.floor((F.col("pz") - F.col("_low")) / BIN)))
-    r = r.withColumn("_full", F.when(F.col("_bin").isNotNull(), F.count("*").over(W.partitionBy(*keys, "_bin"))))
-    middle = F.col("_low") + (F.max_by("_bin", F.struct("_full", -F.col("_bin"))).over(box) + 0.5) * BIN
-    r = r.withColumn("_middle", middle).where((F.col("_high") - F.col("_low") < 0.04) | (F.abs(F.col("pz") - F.col("_middle")) <= ABOUT))
-    r = r.withColumn("_n", F.count("*").over(box)).where(F.col("_n") >= max(10, config.least // 2))
-    r = r.select(*keys, "x", "y", "z", "dz", "px", "py", "pz").withColumns({"_keep": F.lit(True), **{k: F.lit(None).cast("double") for k in "abc"}})
-    for _ in range(ROUNDS):
-        names = [*keys, "x", "y", "z", "dz", "px", "py", "pz", "_keep"]
-        fitted = r.withColumns(_plane_sums(F.col("_keep"), box)).select(*names, *(F.col(k).alias(f"_{k}") for k in "abc"), F.col("s_n").alias("_kept"), *(c.alias(k) for k, c in _plane().items()))
-        # with too few points left, the plane and the points of the round before stay
-        more = F.coalesce(F.col("_kept") >= PLANE, F.lit(False))
-        r = fitted.select(*names, "_kept", *(F.when(more, F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in "abc"))
-        r = r.withColumn("_off", F.col("pz") - F.col("z") - F.col("a") * (F.col("px") - F.col("x")) - F.col("b") * (F.col("py") - F.col("y")) - F.col("c"))
-        r = r.withColumn("_mid", F.median(F.when(F.col("_keep"), F.col("_off"))).over(box))
-        r = r.withColumn("_mad", F.median(F.when(F.col("_keep"), F.abs(F.col("_off") - F.col("_mid")))).over(box))
-        close = F.abs(F.col("_off") - F.col("_mid")) <= F.greatest(F.lit(TRIM), 3 * 1.4826 * F.col("_mad"))
-        r = r.withColumn("_keep", F.when(F.coalesce(F.col("_kept") >= PLANE, F.lit(False)), F.coalesce(close, F.lit(False))).otherwise(F.col("_keep"))).drop("_kept", "_off", "_mid", "_mad")
-    out = r.groupBy(*keys).agg(*(F.first(k).alias(k) for k in ("z", "dz", "a", "b", "c")), F.sum(F.col("_keep").cast("long")).alias("n_ground"))
-    ground = F.col("z") + F.col("c")
-    good = (F.col("n_ground") >= PLANE) & (F.hypot("a", "b") <= config.slope) & (F.abs(F.col("c") + F.col("dz") / 2) <= config.below)
-    found = out.select(*keys, F.when(good, ground).alias("ground"), "n_ground")
-    return d.select(*keys).join(found, list(keys), "left")
+    def kernel(b, frame, p, of):
+        ground, number = np.full(len(frame), np.nan), np.full(len(frame), -1)
+        bottom = b["z"] - b["dz"] / 2
+        for box, point, along, across in ragged.about(b, frame, p, of, config.outer):
+            inside = (np.abs(along) <= (b["dx"] / 2 + config.inner)[box]) & (np.abs(across) <= (b["dy"] / 2 + config.inner)[box])
+            h = p[2][point]
+            ring = np.flatnonzero(~inside & (h >= (bottom - config.below)[box]) & (h <= (bottom + config.above)[box]))
+            box, point = box[ring], point[ring]
+            whose, count = np.unique(box, return_counts=True)
+            enough = count >= config.least
+            kept = np.repeat(enough, count)
+            whose, count, point = whose[enough], count[enough], point[kept]
+            for which, at, real in ragged.blocks(count):
+                w, at = whose[which], point[at]
+                ground[w], number[w] = _trimmed(b["z"][w], b["dz"][w], p[0][at] - b["x"][w][:, None], p[1][at] - b["y"][w][:, None], p[2][at], real, config)
+        yield {"_at": np.arange(len(frame)), "ground": ground, "n_ground": number}
+
+    found = ragged.by_frames(d, points, keys, shared, (), kernel, "ground double, n_ground long")
+    return found.select(*keys, F.when(~F.isnan("ground"), F.col("ground")).alias("ground"), F.when(F.col("n_ground") >= 0, F.col("n_ground")).alias("n_ground"))
 
 
 @dataclass(frozen=True)
