@@ -171,32 +171,58 @@ def roof_windows(d: DataFrame, points: DataFrame, keys: Columns, shared: int = 1
     `top` is the 95th percentile of the window's heights.
     """
     c = config
-    near = about(d, points, keys, shared, 0.0, ("ground",))
-    bottom = F.coalesce("ground", F.col("z") - F.col("dz") / 2)
-    top = F.greatest(F.col("z") + F.col("dz") / 2, bottom + F.col("dz")) + c.above
-    half = lambda k: F.greatest(F.col(k) / 2 - c.inset, F.lit(0.05))
-    n = near.withColumns({"_bottom": bottom, "_top": top, "_hx": half("dx"), "_hy": half("dy")})
-    n = n.where((F.abs("along") <= F.col("_hx")) & (F.abs("across") <= F.col("_hy")) & F.col("pz").between(F.col("_bottom"), F.col("_top")))
-    n = n.withColumn("_crop", F.count("*").over(W.partitionBy(*keys))).where(F.col("_crop") >= c.least)
-    long = F.col("dx") >= F.col("dy")
-    turned = lambda a, b: F.when(long, F.col(a)).otherwise(F.col(b))
-    n = n.withColumns({"_l": turned("along", "across"), "_s": turned("across", "along"), "_hl": turned("_hx", "_hy"), "_hs": turned("_hy", "_hx"), "n_windows": F.greatest(F.lit(1), F.floor((F.col("_top") - F.col("_bottom") - c.height) / c.step) + 1)})
-    starts = lambda k: F.col("_bottom") + k * c.step
-    last = F.floor((F.col("pz") - F.col("_bottom")) / c.step) + 1
-    windows = F.filter(F.sequence(last - int(c.height / c.step) - 2, last), lambda k: (k >= 0) & (k < F.col("n_windows")) & (F.col("pz") >= starts(k)) & (F.col("pz") < starts(k) + c.height))
-    cell = lambda v, h, bins: F.least(F.greatest(F.floor((F.col(v) + F.col(h)) / F.greatest(2 * F.col(h), F.lit(1e-6)) * bins), F.lit(0)), F.lit(bins - 1))
-    n = n.withColumn("_cell", _bit((cell("_l", "_hl", LONG) * SHORT + cell("_s", "_hs", SHORT)).cast("int")))
-    n = n.withColumn("_mid", (F.abs("_l") <= F.greatest(F.col("_hl") * c.centre, F.lit(1e-6))) & (F.abs("_s") <= F.greatest(F.col("_hs") * c.centre, F.lit(1e-6))))
-    span = lambda k: F.percentile(k, F.lit(0.95)) - F.percentile(k, F.lit(0.05))
-    w = n.withColumn("window", F.explode(windows)).groupBy(*keys, "window").agg(
-        F.first("n_windows").alias("n_windows"), F.count("*").alias("support"), F.percentile("pz", F.lit(0.95)).alias("top"), F.first("_hl").alias("_hl"), F.first("_hs").alias("_hs"),
-        span("_l").alias("_long"), span("_s").alias("_short"), F.median("_l").alias("_ml"), F.median("_s").alias("_ms"), F.sum(F.col("_mid").cast("int")).alias("_in"), F.bit_or("_cell").alias("_cells"),
-    )
-    # the whole size of a side is its half, the inset left out, twice
-    wide = (F.col("_long") >= F.greatest(F.lit(c.long_span), c.long_ratio * 2 * F.col("_hl"))) & (F.col("_short") >= F.greatest(F.lit(c.short_span), c.short_ratio * 2 * F.col("_hs")))
-    central = (F.col("_in") >= c.in_centre) & (F.abs("_ml") <= F.greatest(F.col("_hl") * c.centroid, F.lit(1e-6))) & (F.abs("_ms") <= F.greatest(F.col("_hs") * c.centroid, F.lit(1e-6)))
-    some = w.where((F.col("support") >= c.least) & wide & central & (F.bit_count("_cells") >= c.cells))
-    return some.where(largest_patch(F.col("_cells")) >= c.connected).select(*keys, "window", "n_windows", "support", "top")
+
+    def kernel(b, frame, p, of):
+        bottom = np.where(np.isnan(b["ground"]), b["z"] - b["dz"] / 2, b["ground"])
+        top = np.maximum(b["z"] + b["dz"] / 2, bottom + b["dz"]) + c.above
+        hx, hy = (np.maximum(b[k] / 2 - c.inset, 0.05) for k in ("dx", "dy"))
+        long = b["dx"] >= b["dy"]
+        hl, hs = np.where(long, hx, hy), np.where(long, hy, hx)
+        windows = np.maximum(1, np.nan_to_num(np.floor((top - bottom - c.height) / c.step)).astype(np.int64) + 1)
+        for box, point, along, across in ragged.about(b, frame, p, of, 0.0):
+            h = p[2][point]
+            crop = np.flatnonzero((np.abs(along) <= hx[box]) & (np.abs(across) <= hy[box]) & (h >= bottom[box]) & (h <= top[box]))
+            crop = crop[(np.bincount(box[crop], minlength=len(frame)) >= c.least)[box[crop]]]
+            box, h, along, across = box[crop], h[crop], along[crop], across[crop]
+            l, s = np.where(long[box], along, across), np.where(long[box], across, along)
+            last = np.floor((h - bottom[box]) / c.step).astype(np.int64) + 1
+            rows, seen = [], []
+            for back in range(int(c.height / c.step) + 3):
+                start = bottom[box] + (last - back) * c.step
+                one = np.flatnonzero((last >= back) & (last - back < windows[box]) & (h >= start) & (h < start + c.height))
+                rows.append(one)
+                seen.append(last[one] - back)
+            row, window = np.concatenate(rows), np.concatenate(seen)
+            order = np.lexsort((window, box[row]))
+            row, window = row[order], window[order]
+            new = np.flatnonzero(np.diff(box[row], prepend=-1).astype(bool) | np.diff(window, prepend=-1).astype(bool))
+            support = np.diff(np.append(new, len(row)))
+            enough = support >= c.least
+            kept = np.repeat(enough, support)
+            row, window, support = row[kept], window[new[enough]], support[enough]
+            if not len(support):
+                continue
+            new = np.cumsum(support) - support
+            w = box[row[new]]
+            cell = lambda v, half, bins: np.clip(np.floor((v + half) / np.maximum(2 * half, 1e-6) * bins), 0, bins - 1).astype(np.int64)
+            whose = box[row]
+            cells = np.bitwise_or.reduceat(1 << (cell(l[row], hl[whose], LONG) * SHORT + cell(s[row], hs[whose], SHORT)), new)
+            middle = (np.abs(l[row]) <= np.maximum(hl[whose] * c.centre, 1e-6)) & (np.abs(s[row]) <= np.maximum(hs[whose] * c.centre, 1e-6))
+            some, tops = np.add.reduceat(middle.astype(np.int64), new) >= c.in_centre, np.zeros(len(support))
+            for which, at, real in ragged.blocks(support):
+                ordered = lambda v: np.sort(np.where(real, v[row[at]], np.inf), axis=1)  # noqa: B023, E731
+                n, lo, so = support[which], ordered(l), ordered(s)
+                share = lambda v, k: ragged.percentile(v, n, k)  # noqa: B023, E731
+                half_l, half_s = hl[w[which]], hs[w[which]]
+                # the whole size of a side is its half, the inset left out, twice
+                wide = (share(lo, 0.95) - share(lo, 0.05) >= np.maximum(c.long_span, c.long_ratio * 2 * half_l)) & (share(so, 0.95) - share(so, 0.05) >= np.maximum(c.short_span, c.short_ratio * 2 * half_s))
+                central = (np.abs(share(lo, 0.5)) <= np.maximum(half_l * c.centroid, 1e-6)) & (np.abs(share(so, 0.5)) <= np.maximum(half_s * c.centroid, 1e-6))
+                some[which] &= wide & central
+                tops[which] = share(ordered(h), 0.95)
+            yield {"_at": w[some], "window": window[some], "n_windows": windows[w][some], "support": support[some], "top": tops[some], "_cells": cells[some].astype(np.int32)}
+
+    some = ragged.by_frames(d, points, keys, shared, ("ground",), kernel, "window long, n_windows long, support long, top double, _cells int")
+    return some.where((F.bit_count("_cells") >= c.cells) & (largest_patch(F.col("_cells")) >= c.connected)).select(*keys, "window", "n_windows", "support", "top")
 
 
 def roofs(d: DataFrame, points: DataFrame, keys: Columns, shared: int = 1, config: Roof = Roof()) -> DataFrame:
