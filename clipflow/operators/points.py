@@ -1,13 +1,15 @@
 """Points in boxes, and the filters and fits that look at them.
 
-Points and boxes meet in a join by frame and cell of a few metres with the test
-of the oriented box as its condition, and are aggregated before anything else;
-clouds are never gathered in a row.
+To count them, boxes and points are dealt by frame once, and all that follows
+stays where it is: no copies of boxes are dealt, nor what is counted.  Fits that
+need the points themselves meet them by frame and cell of a few metres.  Clouds
+are never gathered in a row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clipflow.operators.filters import REASONS, HardFilter, hard_filtered
@@ -25,7 +27,7 @@ def inside(margin: float = 0.0) -> Column:
     return (F.abs(along) <= F.col("dx") / 2 + margin) & (F.abs(across) <= F.col("dy") / 2 + margin) & (F.abs(F.col("pz") - F.col("z")) <= F.col("dz") / 2 + margin)
 
 
-#: Side of the cells in which points and boxes meet, and where a copy of a box costs more than a test of a point.
+#: Side of the cells in which points and boxes meet, and width of the stripes by which far points of a frame are told at once.
 CELL, WIDE = 4.0, 32.0
 
 
@@ -50,13 +52,23 @@ def counted(d: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("frame_id"
 
     keys name a box; the first `shared` of them (its frame, and its clip if
     there is one) are the points' too.  Boxes are taken larger by the margin on
-    all sides.  Cells are wide, so that a box is seldom in more than a few.
+    all sides; those of the same keys count as one.  A box looks at all points
+    of its frame, at the stripe of each first.
     """
-    frame = list(keys[:shared])
-    own = d.select(*keys, "x", "y", "z", "dx", "dy", "dz", "yaw")
-    met = near_points(own, points.select(*frame, "px", "py", "pz"), frame, F.hypot("dx", "dy") / 2 + abs(margin) * 2, WIDE).where(inside(margin))
-    stats = met.groupBy(*keys).agg(F.count("*").alias("n_points"), F.min("pz").alias("low"), F.max("pz").alias("high"))
-    return d.join(stats, list(keys), "left").withColumn("n_points", F.coalesce("n_points", F.lit(0)))
+    frame, found = keys[:shared], ("n_points", "low", "high")
+    columns = [*keys, *(c for c in d.columns if c not in keys)]
+    reach = F.hypot("dx", "dy") / 2 + abs(margin) * 2
+    # what is known of a row alone is added after it is dealt
+    own = d.select(*columns).repartition(*frame).select("*", F.floor((F.col("y") - reach) / WIDE).alias("_from"), F.floor((F.col("y") + reach) / WIDE).alias("_to"), F.monotonically_increasing_id().alias("_row"))
+    cloud = points.select(*(F.col(c).alias(f"_{c}") for c in frame), "px", "py", "pz").repartition(*(f"_{c}" for c in frame)).withColumn("_stripe", F.floor(F.col("py") / WIDE))
+    near = F.col("_stripe").between(F.col("_from"), F.col("_to")) & inside(margin)
+    for c in frame:
+        near = (F.col(c) == F.col(f"_{c}")) & near
+    for c in keys[shared:]:
+        near = near & F.col(c).isNotNull()
+    met = own.join(cloud, near, "left").groupBy("_row", *keys).agg(*(F.first(c).alias(c) for c in columns if c not in keys), F.count("pz").alias("n_points"), F.min("pz").alias("low"), F.max("pz").alias("high"))
+    same = W.partitionBy(*keys)
+    return met.select(*columns, *(f(c).over(same).alias(c) for c, f in zip(found, (F.sum, F.min, F.max), strict=True)))
 
 
 def sparse_filtered(d: DataFrame, config: HardFilter, most: int) -> DataFrame:
@@ -69,9 +81,12 @@ def sparse_filtered(d: DataFrame, config: HardFilter, most: int) -> DataFrame:
 
 def finally_filtered(d: DataFrame, most_points: int, most_frames: int, class_name: str) -> DataFrame:
     """d without boxes of few points, then of tracks that are then left in few frames, then of other classes; the order counts."""
-    dense = d.where(F.col("n_points") > most_points)
-    long = dense.groupBy("track_id").agg(F.count_distinct("frame_id").alias("_n")).where(F.col("_n") > most_frames).select("track_id")
-    return dense.join(long, "track_id", "left_semi").where(F.col("class_name") == class_name).select(*d.columns)
+    # one shuffle by track, so that what d is made from is made once
+    track = W.partitionBy("track_id")
+    new = F.col("frame_id").isNotNull() & ~F.col("frame_id").eqNullSafe(F.lag("frame_id").over(track.orderBy("frame_id")))
+    dense = d.where((F.col("n_points") > most_points) & F.col("track_id").isNotNull()).withColumn("_new", new.cast("long"))
+    long = dense.withColumn("_n", F.sum("_new").over(track)).where(F.col("_n") > most_frames)
+    return long.where(F.col("class_name") == class_name).select(*d.columns)
 
 
 def bottom_fitted(d: DataFrame, class_name: str, prior: float, tolerance: float, least: float, pad: float) -> DataFrame:

@@ -16,8 +16,9 @@ cb AS (SELECT trk.*, coalesce(n, 0) AS n_points, low, high FROM trk LEFT JOIN cn
 _KEYS = ("frame_id", "event_id")
 
 
-def _counted(spark, sf):
-    return points.counted(tracked(spark, sf), cloud(spark, sf), _KEYS)
+def _counted(spark, sf, *more):
+    """Boxes with these columns besides their keys and sizes, and with what the points in them say."""
+    return points.counted(tracked(spark, sf).select(*_KEYS, "x", "y", "z", "dx", "dy", "dz", "yaw", *more), cloud(spark, sf, dealt=True), _KEYS)
 
 
 @query("points_in_boxes", f"WITH {_COUNTED} SELECT frame_id, event_id, n_points, {r('low')}, {r('high')} FROM cb")
@@ -28,27 +29,27 @@ def points_in_boxes(spark, sf):
 @query("filter_sparse", f"""WITH {_COUNTED}, {_HARD.replace('FROM box)', 'FROM cb)')}, g AS (SELECT frame_id, event_id, CASE WHEN n_points <= 1 THEN list_append(reasons, 'sparse_points') ELSE reasons END AS reasons FROM f)
 SELECT frame_id, event_id, array_to_string(reasons, ',') AS reasons, reasons[1] AS first_reason, len(reasons) = 0 AS kept FROM g""")
 def filter_sparse(spark, sf):
-    f = points.sparse_filtered(_counted(spark, sf), HARD, 1)
+    f = points.sparse_filtered(_counted(spark, sf, "class_name", "score"), HARD, 1)
     return f.select(*_KEYS, F.array_join("reasons", ",").alias("reasons"), F.col("primary").alias("first_reason"), "kept")
 
 
 @query("filter_final", f"""WITH {_COUNTED}, d AS (SELECT * FROM cb WHERE n_points > 1), l AS (SELECT track_id FROM d GROUP BY 1 HAVING count(DISTINCT frame_id) > 350)
 SELECT frame_id, event_id FROM d SEMI JOIN l USING (track_id) WHERE class_name = 'Car'""")
 def filter_final(spark, sf):
-    return points.finally_filtered(_counted(spark, sf), 1, 350, "Car").select(*_KEYS)
+    return points.finally_filtered(_counted(spark, sf, "track_id", "class_name"), 1, 350, "Car").select(*_KEYS)
 
 
 @query("fit_bottom", f"""WITH {_COUNTED}, g AS (SELECT *, z + dz / 2 AS top, z - dz / 2 AS bottom FROM cb), h AS (SELECT *, top - greatest(low - 0.01, bottom) AS hh FROM g),
 o AS (SELECT *, coalesce(class_name = 'Truck' AND abs(dz - 1.7) <= 0.11 AND low - bottom > 1e-6 AND hh >= 1.2, false) AS fits FROM h)
 SELECT frame_id, event_id, round(CASE WHEN fits THEN hh ELSE dz END, 4) + 0.0 AS dz, round(CASE WHEN fits THEN top - hh / 2 ELSE z END, 4) + 0.0 AS z FROM o""")
 def fit_bottom(spark, sf):
-    return rounded(points.bottom_fitted(_counted(spark, sf), "Truck", 1.7, 0.11, 1.2, 0.01).select(*_KEYS, "dz", "z"))
+    return rounded(points.bottom_fitted(_counted(spark, sf, "class_name"), "Truck", 1.7, 0.11, 1.2, 0.01).select(*_KEYS, "dz", "z"))
 
 
 @query("fit_top", f"""WITH {_COUNTED}, g AS (SELECT *, greatest(dz, 1.9) AS tall FROM cb), h AS (SELECT *, CASE WHEN low - (high - tall) > 0.05 THEN least(low - (high - tall), 0.2) ELSE 0 END AS up, coalesce(class_name = 'Pedestrian' AND n_points >= 2, false) AS fits FROM g)
 SELECT frame_id, event_id, round(CASE WHEN fits THEN tall - up ELSE dz END, 4) + 0.0 AS dz, round(CASE WHEN fits THEN high - (tall - up) / 2 ELSE z END, 4) + 0.0 AS z FROM h""")
 def fit_top(spark, sf):
-    return rounded(points.top_fitted(_counted(spark, sf), "Pedestrian", 2, 1.9, 0.2, 0.05).select(*_KEYS, "dz", "z"))
+    return rounded(points.top_fitted(_counted(spark, sf, "class_name"), "Pedestrian", 2, 1.9, 0.2, 0.05).select(*_KEYS, "dz", "z"))
 
 
 @query("points_occlusion", f"WITH {_COUNTED} SELECT frame_id, event_id, round(CASE WHEN n_points = 0 THEN 1 ELSE 1 - least(1, greatest(0, (high - low) / dz)) END, 4) + 0.0 AS occluded FROM cb")
@@ -58,7 +59,7 @@ def points_occlusion(spark, sf):
 
 @query("track_heights", f"WITH {_COUNTED} SELECT track_id, round(coalesce(median(high - low) FILTER (high - low BETWEEN 0.5 AND 1.2), median(dz), 1.5), 4) + 0.0 AS height FROM cb GROUP BY 1")
 def track_heights(spark, sf):
-    return rounded(points.track_heights(_counted(spark, sf), 0.5, 1.2, 1.5))
+    return rounded(points.track_heights(_counted(spark, sf, "track_id"), 0.5, 1.2, 1.5))
 
 
 @query("fit_z", f"""WITH {_COUNTED}, m AS (SELECT *, CASE WHEN low IS NULL THEN 'raw' WHEN abs(high - low - 1.0) <= 0.15 THEN 'both' WHEN abs(low - (z - dz / 2)) <= 0.15 THEN 'ground' WHEN abs(high - (z + dz / 2)) <= 0.15 THEN 'roof' ELSE 'raw' END AS mode FROM cb),

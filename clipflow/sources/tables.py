@@ -60,9 +60,10 @@ def tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRACKED = f"{BOXES}, trk AS (SELECT *, frame_id * 200000 AS t_us, (frame_id * 10 + det_idx) * 100000000 + round((y + 30) * 100000)::BIGINT AS event_id FROM box)"
 
 
-def cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(frame_id, px, py, pz): three points for each box, on a line through its centre."""
-    b = boxes(spark, sf_dir).select("frame_id", "x", "y", "z", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("k"))
+def cloud(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """(frame_id, px, py, pz): three points for each box, on a line through its centre; dealt by frame, where asked for, while they still are one row."""
+    b = boxes(spark, sf_dir).select("frame_id", "x", "y", "z")
+    b = (b.repartition("frame_id") if dealt else b).select("*", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("k"))
     return b.select("frame_id", (F.col("x") + F.col("k") * 0.7).alias("px"), (F.col("y") + F.col("k") * 0.4).alias("py"), (F.col("z") + F.col("k") * 0.45).alias("pz"))
 
 

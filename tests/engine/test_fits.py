@@ -184,3 +184,24 @@ def test_no_points_and_points_on_a_line(spark):
     assert fits.shrunk(box, none, KEYS, 2).first().mode_x == "none"
     line = spark.createDataFrame([(0, 1, 2.5 + 0.01 * i, 0.0, 0.0) for i in range(40)], POINT)
     assert fits.grounds(box, line, KEYS, 2).first().ground is None
+
+
+def test_boxes_and_points_are_dealt_once(spark):
+    from clipflow.operators.points import counted, finally_filtered
+    from clipflow.plans.world import fit_top, points_in_boxes
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString() for query in (points_in_boxes, fit_top)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [plan.count("Exchange") for plan in plans] == [2, 2]
+    # what is counted stays where its frame is, also of boxes that share a key, have none, or no place
+    box = "frame_id long, det_idx int, x double, y double, z double, dx double, dy double, dz double, yaw double, name string"
+    rows = [(1, 1, 0.0, 0.0, 0.0, 2.0, 2.0, 2.0, 0.0, "a"), (1, 1, 40.0, 40.0, 0.0, 2.0, 2.0, 2.0, 0.0, "b"), (1, None, 0.0, 0.0, 0.0, 2.0, 2.0, 2.0, 0.0, None), (None, 1, 0.0, 0.0, 0.0, 2.0, 2.0, 2.0, 0.0, "d"), (1, 2, None, 0.0, 0.0, 2.0, 2.0, 2.0, 0.0, "e")]
+    at = [(1, 0.5, 0.5, 0.5), (1, 0.0, 0.0, -1.0), (1, 40.0, 40.9, 0.0), (1, None, 0.0, 0.0), (None, 0.0, 0.0, 0.0), (2, 0.0, 0.0, 0.0)]
+    got = counted(spark.createDataFrame(rows, box), spark.createDataFrame(at, "frame_id long, px double, py double, pz double"))
+    assert {(r.name, r.n_points, r.low, r.high) for r in got.collect()} == {("a", 3, -1.0, 0.5), ("b", 3, -1.0, 0.5), (None, 0, None, None), ("d", 0, None, None), ("e", 0, None, None)}
+    d = spark.createDataFrame([(t, f, n, c) for t, f, n, c in [(1, 1, 5, "Car"), (1, 1, 5, "Bus"), (1, 2, 5, "Car"), (1, None, 5, "Car"), (2, 1, 5, "Car"), (2, 1, 5, "Car"), (2, None, 5, "Car"), (3, 1, 5, "Car"), (3, 2, 1, "Car"), (None, 1, 5, "Car"), (None, 2, 5, "Car")]], "track_id int, frame_id int, n_points long, class_name string")
+    final = finally_filtered(d, 1, 1, "Car")
+    assert sorted((r.track_id, r.frame_id or 0) for r in final.collect()) == [(1, 0), (1, 1), (1, 2)]
