@@ -4,17 +4,26 @@ Fragments of a direction that lie side by side make a lane, and neighbours along
 a lane a queue.  Of two fragments of a queue the later one may go on where the
 earlier one ended, if no third one stood between them meanwhile; such links are
 merged in the queue's order as long as no two members are there at once.
+
+Fragments are dealt by queue once; kernels of arrays take whole queues, so that
+pairs of fragments never are rows, but for the links.  A task holds the
+fragments of a queue, and a bounded number of its pairs at a time.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clipflow.operators.groups import durable
+from clipflow.operators import arrow
 
 Columns = tuple[str, ...]
 
@@ -64,72 +73,163 @@ def queued(parts: DataFrame, by: Columns = (), config: Queue = Queue()) -> DataF
     return queues.withColumn("position", F.row_number().over(W.partitionBy(*by, "direction", "lane", "queue").orderBy("u", "v", "id")))
 
 
-def compatible(a: Column, b: Column, v_a: Column, v_b: Column, most: float) -> Column:
+#: Thirds that each link looks at first, one after the other, before the rest of its stretch is looked through at once.
+FIRST = 32
+
+
+def compatible(a: np.ndarray, b: np.ndarray, v_a: np.ndarray, v_b: np.ndarray, most: float) -> np.ndarray:
     """Whether fragments of these movements may be of one vehicle: left of straight is left, right of it right, and no lane change is wide."""
-    near = F.abs(v_a - v_b) <= most
-    none = lambda c: F.coalesce(c, F.lit("")) == ""
-    is_ = lambda c, name: F.coalesce(c == name, F.lit(False))
-    pair = lambda m, n: (is_(a, m) & is_(b, n)) | (is_(a, n) & is_(b, m))
-    of = lambda m: F.when(is_(a, m), v_a).otherwise(v_b)
-    same = none(a) | none(b) | (a == b)
-    return (
-        F.when(same, ~(is_(a, "right") | is_(b, "right")) | near)
-        .when(pair("left", "straight"), near & (of("left") <= of("straight")))
-        .when(pair("right", "straight"), near & (of("right") >= of("straight")))
-        .otherwise(~pair("left", "right"))
+    near = np.abs(v_a - v_b) <= most
+    same = (a == "") | (b == "") | (a == b)
+    pair = lambda m, n: ((a == m) & (b == n)) | ((a == n) & (b == m))
+    of = lambda m: np.where(a == m, v_a, v_b)
+    return np.select(
+        [same, pair("left", "straight"), pair("right", "straight")],
+        [~((a == "right") | (b == "right")) | near, near & (of("left") <= of("straight")), near & (of("right") >= of("straight"))],
+        ~pair("left", "right"),
     )
 
 
+def _behind(q: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, config: Queue) -> np.ndarray:
+    """Whether nothing of the queue stands between fragments a and b, from where and when a ended to where and when b began."""
+    order = np.argsort(q["u"], kind="stable")
+    u, begun, ended = q["u"][order], q["t0"][order], q["t1"][order]
+    after, before = q["t1"][a], q["t0"][b]
+    # as in SQL, nan is greatest
+    low, high = np.fmin(q["u1"][a], q["u0"][b]) - config.around, np.maximum(q["u1"][a], q["u0"][b]) + config.around
+    first, last = np.searchsorted(u, low, "left"), np.searchsorted(u, high, "right")
+    free, left = np.ones(len(a), bool), np.flatnonzero(first < last)
+    for k in range(FIRST):
+        if not len(left):
+            break
+        third = first[left] + k
+        hit = (begun[third] > after[left]) & (ended[third] < before[left])
+        free[left[hit]] = False
+        left = left[~hit & (third + 1 < last[left])]
+    for part in arrow.parts((last - first)[left]):
+        some = left[part]
+        link, third = arrow.ranges(first[some], (last - first)[some])
+        hit = (begun[third] > after[some][link]) & (ended[third] < before[some][link])
+        free[some[link[hit]]] = False
+    return free
+
+
+def _linked(q: dict[str, np.ndarray], config: Queue) -> tuple[np.ndarray, np.ndarray]:
+    """The fragments a and b of a queue where b may go on where a ended."""
+    c = config
+    order = np.argsort(q["v"], kind="stable")
+    v = q["v"][order]
+    first, last = np.searchsorted(v, v - c.aside - 1e-6, "left"), np.searchsorted(v, v + c.aside + 1e-6, "right")
+    size, found = np.where(np.isnan(v), 0, last - first), []
+    for part in arrow.parts(size):
+        a, b = arrow.ranges(first[part], size[part])
+        a, b = order[a + part.start], order[b]
+        some = (q["t1"][a] < q["t0"][b]) & (np.abs(q["v"][a] - q["v"][b]) <= c.aside) & ((q["u0"][b] + c.back >= q["u1"][a]) | np.isnan(q["u0"][b])) & (q["in1"][a] | q["in0"][b])
+        a, b = a[some], b[some]
+        some = compatible(q["movement"][a], q["movement"][b], q["v"][a], q["v"][b], c.lane_change)
+        a, b = a[some], b[some]
+        some = _behind(q, a, b, c)
+        found.append((a[some], b[some]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+
+
+def _by_queue(parts: DataFrame, by: Columns, kernel: Callable, schema: T.StructType, more: Columns = ()) -> DataFrame:
+    """The tables that kernel(rows, queue) makes of each queue's fragments, which are in the order of their positions: an Arrow table, and its columns as arrays."""
+    keys = [*by, "direction", "lane", "queue"]
+    ends = [F.col(f"{s}.{k}").alias(n + d) for s, d in (("began", "0"), ("ended", "1")) for k, n in (("t_us", "t"), ("u", "u"), ("inside", "in"))]
+    # fragments of no clip link with none
+    d = parts.dropna(how="any", subset=list(by)) if by else parts
+    d = d.select(*keys, "id", "position", F.coalesce("movement", F.lit("")).alias("movement"), "u", "v", *ends, *more)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in arrow.whole(batches, keys):
+            cuts = [*np.flatnonzero(arrow.starts(t, keys)), len(t)]
+            whole = {c: t.column(c).to_numpy() for c in t.column_names if c not in (*keys, "id")}
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                if j - i > 1:
+                    yield from kernel(t.slice(i, j - i), {c: x[i:j] for c, x in whole.items()})
+
+    return d.repartition(*keys).sortWithinPartitions(*keys, "position").mapInArrow(run, schema)
+
+
+def _fields(d: DataFrame, names: list[str]) -> list[T.StructField]:
+    return [T.StructField(n, d.schema[n].dataType) for n in names]
+
+
 def links(parts: DataFrame, by: Columns = (), config: Queue = Queue()) -> DataFrame:
     """(*by, direction, lane, queue, a, b, first, second): fragments as `queued` gives them where b may go on where a ended; first and second are their lower and higher position."""
-    c = config
-    keys = (*by, "direction", "lane", "queue")
-    side = lambda s: parts.select(*keys, F.col("id").alias(s), *(F.col(k).alias(f"{s}_{k}") for k in ("movement", "v", "position", "began", "ended")))
-    v = F.col
-    met = side("a").join(side("b"), list(keys)).where((v("a_ended.t_us") < v("b_began.t_us")) & (F.abs(v("a_v") - v("b_v")) <= c.aside))
-    met = met.where((v("b_began.u") + c.back >= v("a_ended.u")) & (v("a_ended.inside") | v("b_began.inside")))
-    met = met.where(compatible(v("a_movement"), v("b_movement"), v("a_v"), v("b_v"), c.lane_change))
-    met = met.select(
-        *keys, "a", "b", F.least("a_position", "b_position").alias("first"), F.greatest("a_position", "b_position").alias("second"), F.col("a_ended.t_us").alias("_after"), F.col("b_began.t_us").alias("_before"),
-        (F.least("a_ended.u", "b_began.u") - c.around).alias("_low"), (F.greatest("a_ended.u", "b_began.u") + c.around).alias("_high"),
-    )
-    third = parts.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("u").alias("_u"), F.col("began.t_us").alias("_from"), F.col("ended.t_us").alias("_to"))
-    between = (v("_from") > v("_after")) & (v("_to") < v("_before")) & (v("_u") >= v("_low")) & (v("_u") <= v("_high"))
-    for k in keys:
-        between = between & (v(k) == v(f"_{k}"))
-    return met.join(third, between, "left_anti").select(*keys, "a", "b", "first", "second")
+    keys = [*by, "direction", "lane", "queue"]
+    id_ = parts.schema["id"].dataType
+    schema = T.StructType([*_fields(parts, keys), T.StructField("a", id_), T.StructField("b", id_), T.StructField("first", T.IntegerType()), T.StructField("second", T.IntegerType())])
+
+    def kernel(t: pa.Table, q: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        a, b = _linked(q, config)
+        if len(a):
+            at = q["position"].astype(np.int32)
+            columns = [*(t.column(k).take(pa.array(a)) for k in keys), t.column("id").take(pa.array(a)), t.column("id").take(pa.array(b)), pa.array(np.minimum(at[a], at[b])), pa.array(np.maximum(at[a], at[b]))]
+            yield from pa.table(columns, names=schema.names).combine_chunks().to_batches()
+
+    return _by_queue(parts, by, kernel, schema)
+
+
+def _merged(first: np.ndarray, second: np.ndarray, begun: list[int], ended: list[int]) -> list[int]:
+    """The group of each fragment, named by one of its members: links (in their order) count if no member of one side is there while one of the other is."""
+    root = list(range(len(begun)))
+    #: the spans of each group, which are apart, in order
+    spans = {}
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    def meets(small: list[tuple[int, int]], large: list[tuple[int, int]]) -> bool:
+        for f, t in small:
+            k = bisect_left(large, (f,))
+            if (k and large[k - 1][1] >= f) or (k < len(large) and large[k][0] <= t):
+                return True
+        return False
+
+    for a, b in zip(first.tolist(), second.tolist(), strict=True):
+        a, b = top(a), top(b)
+        if a == b:
+            continue
+        s, l = (spans.get(k) or [(begun[k], ended[k])] for k in (a, b))
+        if len(s) > len(l):
+            a, b, s, l = b, a, l, s
+        if not meets(s, l):
+            for span in s:
+                insort(l, span)
+            spans[b] = l
+            spans.pop(a, None)
+            root[a] = b
+    return [top(i) for i in range(len(root))]
 
 
 def stitched(parts: DataFrame, by: Columns = (), config: Queue = Queue()) -> DataFrame:
     """(*by, id, target): fragments (as `fragments` gives them) of merged links, and the id that they all get.
 
     Links count in the order of their queue's positions; one is taken if no
-    member of either side is there while one of the other is.  A round decides
-    the links that come first for both their sides, which is the same as one by
-    one.  The target has the most rows (then the least id) of those without
-    isolated rows; where none is or nothing is dynamic, nothing is merged.
+    member of either side is there while one of the other is.  The target has
+    the most rows (then the least id) of those without isolated rows; where none
+    is or nothing is dynamic, nothing is merged.
     """
-    keys = [*by, "direction", "lane", "queue"]
-    parts = durable(queued(parts, by, config))
-    left = durable(links(parts, by, config).select(*keys, F.struct("first", "second").alias("turn"), "first", "second"))
-    spans = parts.select(*keys, "position", F.col("began.t_us").alias("from"), F.col("ended.t_us").alias("to"))
-    # a link's sides are the least positions of their groups
-    root = durable(parts.join(left.select(*keys).distinct(), keys, "left_semi").select(*keys, "position", F.col("position").alias("root")))
-    while not left.isEmpty():
-        each = left.select(*keys, "turn", F.explode(F.array("first", "second")).alias("_side"))
-        best = each.groupBy(*keys, "_side").agg(F.min("turn").alias("turn")).groupBy(*keys, "turn").agg(F.count("*").alias("_n")).where("_n = 2").drop("_n")
-        now = durable(left.join(best, [*keys, "turn"], "left_semi"))
-        of = lambda s: now.select(*keys, "turn", F.col(s).alias("root")).join(root, [*keys, "root"]).join(spans, [*keys, "position"])  # noqa: B023, E731
-        other = of("second").select(*keys, "turn", F.col("from").alias("_from"), F.col("to").alias("_to"))
-        clash = of("first").join(other, [*keys, "turn"]).where("from <= _to AND _from <= to").select(*keys, "turn").distinct()
-        moved = now.join(clash, [*keys, "turn"], "left_anti").select(*keys, F.greatest("first", "second").alias("root"), F.least("first", "second").alias("_to"))
-        moved = durable(moved)
-        root = durable(root.join(moved, [*keys, "root"], "left").withColumn("root", F.coalesce("_to", "root")).drop("_to"))
-        left = left.join(now, [*keys, "turn"], "left_anti")
-        for s in ("first", "second"):
-            left = left.join(moved.select(*keys, F.col("root").alias(s), "_to"), [*keys, s], "left").withColumn(s, F.coalesce("_to", s)).drop("_to")
-        left = durable(left.where("first <> second").select(*keys, "turn", "first", "second"))
-    whole = root.join(parts.select(*keys, "position", "id", "n", "dynamic", "alone"), [*keys, "position"])
-    best = F.min(F.when(~F.col("alone"), F.struct(-F.col("n"), "id"))).getField("id")
-    groups = whole.groupBy(*keys, "root").agg(best.alias("target"), F.bool_or("dynamic").alias("_moves"), F.count("*").alias("_n")).where("_n > 1 AND _moves AND target IS NOT NULL")
-    return whole.join(groups, [*keys, "root"]).select(*by, "id", "target")
+    keys, own = [*by, "direction", "lane", "queue"], ["id", "n", "dynamic", "alone"]
+    found = queued(parts, by, config)
+    schema = T.StructType([*_fields(found, [*keys, *own]), T.StructField("root", T.IntegerType())])
+
+    def kernel(t: pa.Table, q: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        a, b = _linked(q, config)
+        if len(a):
+            # rows are in the order of positions
+            first, second = np.minimum(a, b), np.maximum(a, b)
+            order = np.lexsort((second, first))
+            root = _merged(first[order], second[order], q["t0"].tolist(), q["t1"].tolist())
+            some = np.bincount(root, minlength=len(t))[root] > 1
+            yield from t.select([*keys, *own]).append_column("root", pa.array(np.array(root, np.int32))).filter(pa.array(some)).combine_chunks().to_batches()
+
+    whole = _by_queue(found, by, kernel, schema, ("n", "dynamic", "alone"))
+    w = W.partitionBy(*keys, "root")
+    best = F.min(F.when(~F.col("alone"), F.struct(-F.col("n"), "id"))).over(w).getField("id")
+    return whole.withColumn("target", best).withColumn("_moves", F.bool_or("dynamic").over(w)).where("_moves AND target IS NOT NULL").select(*by, "id", "target")

@@ -3,9 +3,10 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
-from clipflow.operators import queues
+from clipflow.operators import arrow, queues
 
 RULES = queues.Queue()
 
@@ -102,3 +103,52 @@ def test_a_third_vehicle_blocks_and_rows_without_place_count_for_nothing(spark):
     parts = queues.fragments(spark.createDataFrame(free + blocked, SCHEMA), ("clip",))
     assert {(x.clip, x.id): x.target for x in queues.stitched(parts, ("clip",)).collect()} == {(0, 1): 1, (0, 2): 1}
     assert queues.stitched(parts.where("false"), ("clip",)).count() == 0
+
+
+@pytest.mark.parametrize("first", [1, 32])
+def test_links_of_a_queue_against_all_thirds(monkeypatch, first):
+    r, n, c = np.random.default_rng(first), 150, RULES
+    monkeypatch.setattr(queues, "FIRST", first)
+    parts = arrow.parts
+    monkeypatch.setattr(arrow, "parts", lambda sizes: parts(sizes, 500))
+    q = {"u": r.uniform(0, 40, n), "v": r.uniform(0, 6, n), "t0": r.integers(0, 60, n), "in0": r.random(n) < 0.7, "in1": r.random(n) < 0.7, "movement": r.choice(np.array(["", "left", "straight", "right", "u"], object), n)}
+    q |= {"t1": q["t0"] + r.integers(0, 6, n), "u0": q["u"] + r.uniform(-1, 1, n), "u1": q["u"] + r.uniform(-1, 1, n)}
+
+    def fits(i, j):
+        m, k, near = q["movement"][i], q["movement"][j], abs(q["v"][i] - q["v"][j]) <= c.lane_change
+        by = {m: q["v"][i], k: q["v"][j]}
+        if m == k or "" in (m, k):
+            return near or "right" not in (m, k)
+        if {m, k} == {"left", "straight"}:
+            return near and by["left"] <= by["straight"]
+        if {m, k} == {"right", "straight"}:
+            return near and by["right"] >= by["straight"]
+        return {m, k} != {"left", "right"}
+
+    want = set()
+    for i in range(n):
+        for j in range(n):
+            if q["t1"][i] < q["t0"][j] and abs(q["v"][i] - q["v"][j]) <= c.aside and q["u0"][j] + c.back >= q["u1"][i] and (q["in1"][i] or q["in0"][j]) and fits(i, j):
+                low, high = min(q["u1"][i], q["u0"][j]) - c.around, max(q["u1"][i], q["u0"][j]) + c.around
+                if not ((q["t0"] > q["t1"][i]) & (q["t1"] < q["t0"][j]) & (q["u"] >= low) & (q["u"] <= high)).any():
+                    want.add((i, j))
+    a, b = queues._linked(q, c)
+    assert len(a) == len(want) > 50 and set(zip(a.tolist(), b.tolist(), strict=True)) == want
+
+
+def test_pairs_are_no_rows_and_no_rounds_are_run(spark):
+    from clipflow.plans.queues import queue_links, queue_stitched
+
+    before = spark.sparkContext._jsc.sc().statusStore().jobsList(None).size()
+    for query in (queue_links, queue_stitched):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan
+    # reading a file's schema is a job, merging in rounds would be many
+    assert spark.sparkContext._jsc.sc().statusStore().jobsList(None).size() - before <= 2
+
+
+def test_fragments_of_no_clip_link_with_none(spark):
+    rows = [(k, 0, 0.0, i, None, t, x, 0.0, True, True, False) for k in (None, 1) for i, t, x in ((1, 0, 0.0), (2, 10, 1.0))]
+    parts = queues.fragments(spark.createDataFrame(rows, SCHEMA), ("clip",))
+    assert {(x.clip, x.id): x.target for x in queues.stitched(parts, ("clip",)).collect()} == {(1, 1): 1, (1, 2): 1}
+    assert [(x.a, x.b, x.first, x.second) for x in queues.links(queues.queued(parts, ("clip",)), ("clip",)).collect()] == [(1, 2, 1, 2)]
