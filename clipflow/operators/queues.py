@@ -50,7 +50,8 @@ def fragments(obs: DataFrame, by: Columns = ()) -> DataFrame:
     own = ~F.coalesce("isolated", F.lit(False))
     kept = lambda c: F.when(own, F.col(c))
     at = F.when(own, F.struct("t_us", "x", "y", F.coalesce("inside", F.lit(False)).alias("inside")))
-    g = d.groupBy(*by, "direction", "id").agg(
+    # lanes and queues are found by clip and direction, so rows are dealt once
+    g = d.repartition(*by, "direction").groupBy(*by, "direction", "id").agg(
         F.min("movement").alias("movement"), F.first("way").alias("way"), F.median(kept("x")).alias("_x"), F.median(kept("y")).alias("_y"), F.count(kept("t_us")).alias("n"),
         F.coalesce(F.bool_or(own & F.col("dynamic")), F.lit(False)).alias("dynamic"), F.bool_or(~own).alias("alone"), F.min(at).alias("_first"), F.max(at).alias("_last"),
     )
@@ -73,6 +74,8 @@ def queued(parts: DataFrame, by: Columns = (), config: Queue = Queue()) -> DataF
     return queues.withColumn("position", F.row_number().over(W.partitionBy(*by, "direction", "lane", "queue").orderBy("u", "v", "id")))
 
 
+#: Numbers of the movements that rules name; others get numbers of their own.
+NONE, LEFT, STRAIGHT, RIGHT = range(4)
 #: Thirds that each link looks at first, one after the other, before the rest of its stretch is looked through at once.
 FIRST = 32
 
@@ -80,13 +83,13 @@ FIRST = 32
 def compatible(a: np.ndarray, b: np.ndarray, v_a: np.ndarray, v_b: np.ndarray, most: float) -> np.ndarray:
     """Whether fragments of these movements may be of one vehicle: left of straight is left, right of it right, and no lane change is wide."""
     near = np.abs(v_a - v_b) <= most
-    same = (a == "") | (b == "") | (a == b)
+    same = (a == NONE) | (b == NONE) | (a == b)
     pair = lambda m, n: ((a == m) & (b == n)) | ((a == n) & (b == m))
     of = lambda m: np.where(a == m, v_a, v_b)
     return np.select(
-        [same, pair("left", "straight"), pair("right", "straight")],
-        [~((a == "right") | (b == "right")) | near, near & (of("left") <= of("straight")), near & (of("right") >= of("straight"))],
-        ~pair("left", "right"),
+        [same, pair(LEFT, STRAIGHT), pair(RIGHT, STRAIGHT)],
+        [~((a == RIGHT) | (b == RIGHT)) | near, near & (of(LEFT) <= of(STRAIGHT)), near & (of(RIGHT) >= of(STRAIGHT))],
+        ~pair(LEFT, RIGHT),
     )
 
 
@@ -116,7 +119,8 @@ def _behind(q: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, config: Queu
 
 def _linked(q: dict[str, np.ndarray], config: Queue) -> tuple[np.ndarray, np.ndarray]:
     """The fragments a and b of a queue where b may go on where a ended."""
-    c = config
+    c, numbers = config, {"": NONE, "left": LEFT, "straight": STRAIGHT, "right": RIGHT}
+    move = np.array([numbers.setdefault(m, len(numbers)) for m in q["movement"]])
     order = np.argsort(q["v"], kind="stable")
     v = q["v"][order]
     first, last = np.searchsorted(v, v - c.aside - 1e-6, "left"), np.searchsorted(v, v + c.aside + 1e-6, "right")
@@ -126,7 +130,7 @@ def _linked(q: dict[str, np.ndarray], config: Queue) -> tuple[np.ndarray, np.nda
         a, b = order[a + part.start], order[b]
         some = (q["t1"][a] < q["t0"][b]) & (np.abs(q["v"][a] - q["v"][b]) <= c.aside) & ((q["u0"][b] + c.back >= q["u1"][a]) | np.isnan(q["u0"][b])) & (q["in1"][a] | q["in0"][b])
         a, b = a[some], b[some]
-        some = compatible(q["movement"][a], q["movement"][b], q["v"][a], q["v"][b], c.lane_change)
+        some = compatible(move[a], move[b], q["v"][a], q["v"][b], c.lane_change)
         a, b = a[some], b[some]
         some = _behind(q, a, b, c)
         found.append((a[some], b[some]))
