@@ -23,7 +23,7 @@ _AT = f"(e.pu + (e.qu - e.pu) * (v * {STEP} - e.pv) / (e.qv - e.pv)::DOUBLE)"
 _SPANS = """SELECT *, ceil(greatest(list_min(list_transform({p}, lambda p: p.u)), list_max(list_transform(list_filter({e}, lambda e: e.qv < e.pv), lambda e: {at}))) / {step}.0 - 1e-9)::BIGINT AS low,
  floor(least(list_max(list_transform({p}, lambda p: p.u)), list_min(list_transform(list_filter({e}, lambda e: e.qv > e.pv), lambda e: {at}))) / {step}.0 + 1e-9)::BIGINT AS high
  FROM (SELECT *, unnest(range(ceil(list_min(list_transform({p}, lambda p: p.v)) / {step}.0)::BIGINT, floor(list_max(list_transform({p}, lambda p: p.v)) / {step}.0)::BIGINT + 1)) AS v FROM h)"""
-_SHARES = f"""{BOXES}, {_CAMS}, b0 AS (SELECT frame_id, det_idx, class_name, x, y, z, dx, dy, dz, yaw, y AS id FROM box WHERE frame_id % 3 = 0),
+_SHARES = f"""{BOXES}, {_CAMS}, b0 AS (SELECT frame_id, det_idx, class_name, x, y, z, dx, dy, dz, yaw, y AS id FROM box),
 b1 AS (SELECT *, list_transform({_HALVES}, lambda p: {{'x': x + p.i * dx * cos(yaw) - p.j * dy * sin(yaw), 'y': y + p.i * dx * sin(yaw) + p.j * dy * cos(yaw), 'z': z + p.k * dz}}) AS c FROM b0, cam),
 b2 AS (SELECT *, list_transform(c, lambda p: {{{_MOVED}}}) AS a, t[9] * x + t[10] * y + t[11] * z + t[12] AS depth FROM b1),
 b3 AS (SELECT *, list_transform(a, lambda p: {{'p': p, 'r': sqrt(p.x * p.x + p.y * p.y), 't': atan2(sqrt(p.x * p.x + p.y * p.y), p.z)}}) AS g FROM b2 WHERE len(list_filter(a, lambda p: p.z <= 0.1)) = 0),
@@ -41,7 +41,7 @@ best AS (SELECT frame_id, id, arg_max({{'ratio': ratio, 'occluded': occluded, 't
 
 
 def _boxes(spark, sf):
-    return boxes(spark, sf).where("frame_id % 3 = 0").withColumn("clip", F.lit(0)).withColumn("id", F.col("y"))
+    return boxes(spark, sf).withColumn("clip", F.lit(0)).withColumn("id", F.col("y"))
 
 
 def _cameras(spark):

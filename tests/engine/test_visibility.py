@@ -101,3 +101,17 @@ def test_points_meet_boxes_by_cells(spark):
         return b[:2] == q[:2] and abs(dx * c + dy * s) <= b[6] / 2 and abs(dy * c - dx * s) <= b[7] / 2
 
     assert got == {b[:3]: sum(inside(b, q) for q in at) for b in boxes}
+
+
+def _written(spark, folder, rows):
+    names = "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, l_discount double, l_quantity double, l_extendedprice double, l_tax double"
+    spark.createDataFrame(rows, names).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_cameras_take_all_frames(spark, tmp_path):
+    from clipflow.plans import visibility as plans
+
+    sf = _written(spark, tmp_path, [(f, 1, 5, "A", 0.0, 25.0, 40000.0, 0.0) for f in range(7)])
+    for found in (plans.camera_shares(spark, sf), plans.camera_visible(spark, sf)):
+        assert {r.frame_id for r in found.collect()} == set(range(7))
