@@ -56,7 +56,7 @@ def _id():
 @query("camera_shares", f"WITH {_SHARES} SELECT frame_id, {r('id', 3)}, camera, {r('ratio')}, {r('occluded')}, {r('truncated')} FROM e")
 def camera_shares(spark, sf):
     e = visibility.in_cameras(_boxes(spark, sf), _cameras(spark), ("clip",), ("frame_id", "id"), STEP)
-    return rounded(e.select("frame_id", _id(), "camera", "ratio", "occluded", "truncated"))
+    return rounded(e.select("frame_id", _id(), "camera", *(visibility.halved_up(c, 4).alias(c) for c in ("ratio", "occluded", "truncated"))))
 
 
 _POINTS = "pt AS (SELECT frame_id, x + k * 0.7 AS px, y + k * 0.4 AS py, z + k * 0.45 AS pz FROM box, (VALUES (-1), (0), (1)) AS ks(k))"

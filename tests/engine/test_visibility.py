@@ -115,3 +115,16 @@ def test_cameras_take_all_frames(spark, tmp_path):
     sf = _written(spark, tmp_path, [(f, 1, 5, "A", 0.0, 25.0, 40000.0, 0.0) for f in range(7)])
     for found in (plans.camera_shares(spark, sf), plans.camera_visible(spark, sf)):
         assert {r.frame_id for r in found.collect()} == set(range(7))
+
+
+def test_boxes_of_one_key_are_one_row_each(spark, tmp_path):
+    from clipflow.plans import visibility as plans
+
+    sf = _written(spark, tmp_path, [(f, n, 5, "A", 0.06, 25.0 + 4 * n, 40000.0, 0.0) for f in range(2) for n in (1, 2)])
+    got = [(r.frame_id, r.id) for r in plans.camera_visible(spark, sf).collect()]
+    assert sorted(got) == [(0, 10.0), (0, 10.0), (1, 10.0), (1, 10.0)]
+
+
+def test_shares_are_rounded_as_in_the_sql(spark):
+    d = spark.createDataFrame([(57 / 800,), (1 - 0.03125 - 0.55,), (0.0,), (None,), (-0.25,), (0.49999999999999994e-4,)], "v double")
+    assert [r.v for r in d.select(visibility.halved_up("v", 4).alias("v")).collect()] == [0.0712, 0.4188, 0.0, None, -0.25, 0.0]
