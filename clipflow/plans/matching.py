@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clipflow.operators import alignment, filters, matching, points, stitching
+from clipflow.operators.visibility import halved_up
 from clipflow.plans.catalog import HOUR, query, r, rounded
 from clipflow.plans.shapes import _AX
 from clipflow.plans.signals import _PARTS, _STATES, _parts, _states
@@ -38,7 +39,7 @@ SELECT a, arg_min(b, (score, b)) AS b, {r("min(score)", 3, "score")} FROM p GROU
 def join_anchors(spark, sf):
     at = F.struct("t_us", "event_id")
     e = _parts(spark, sf).groupBy(F.col("track_id").alias("id")).agg(F.min("t_us").alias("t0"), F.max("t_us").alias("t1"), *(f(c, at).alias(c + n) for n, f in (("0", F.min_by), ("1", F.max_by)) for c in ("x", "y")))
-    return rounded(matching.anchors(e, e, 3 * HOUR, 60.0), 3)
+    return rounded(matching.anchors(e, e, 3 * HOUR, 60.0).withColumn("score", halved_up("score", 3)), 3)
 
 
 @query("export_label_ids", f"""WITH {TRACKED}, f AS (SELECT frame_id, event_id AS place, CASE WHEN det_idx = 2 THEN 't' || track_id ELSE track_id::VARCHAR END AS track FROM trk WHERE class_name = 'Truck'), l AS (SELECT frame_id, list(CASE WHEN try_cast(track AS BIGINT) IS NULL THEN 'x' || track ELSE (track::BIGINT + 1000)::VARCHAR END ORDER BY place) AS ids FROM f GROUP BY 1)
