@@ -53,3 +53,20 @@ def test_seeds_by_lines_and_by_pairs(spark, monkeypatch):
             parts = pd.concat([matching._neighbours(g.assign(_own=g.event_id.isin(alone.event_id)), 0.8, np.pi / 6) for _, g in p.groupby("class_name")])
         assert {tuple(q) for q in parts[(parts.n_frames >= 9) & (parts.span_us >= 100)].itertuples(index=False)} == {w for w in want if w[0] in set(alone.event_id)}
     assert 100 < len(want) < n
+
+
+def test_blocks_of_tracks_grow_with_their_cell(spark, monkeypatch):
+    """A track is dealt no more often as its cell fills, and frames go along as numbers of four bytes."""
+    monkeypatch.setattr(stitching, "BLOCK", 4)
+    monkeypatch.setattr(stitching, "BLOCKS", 2, raising=False)
+    dealt = {}
+    for n in (40, 160):
+        rows = [(k, 10_000_000_000 + (k * 7 + i * 13) % 97, k % 10 + 0.5, k % 7 + 0.5) for k in range(n) for i in range(3)]
+        out = stitching.never_together(spark.createDataFrame(rows, "track_id long, frame_id long, x double, y double"), 20.0)
+        frames = {k: {f for t, f, *_ in rows if t == k} for k in range(n)}
+        assert sorted((r.a, r.b) for r in out.collect()) == [(a, b) for a in range(n) for b in range(a + 1, n) if not frames[a] & frames[b]]
+        plan = out._jdf.queryExecution()
+        met = plan.optimizedPlan().children().apply(0)  # what goes into the kernel
+        dealt[n] = out.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(out.sparkSession._jsparkSession, met).count() / n
+        assert "cast((lambda" in plan.optimizedPlan().toString() and "as int)" in plan.optimizedPlan().toString()
+    assert dealt[160] <= dealt[40]
